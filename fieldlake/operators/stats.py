@@ -194,6 +194,7 @@ def attributions(
     return explained.withColumn("prediction", total).drop("_model")
 
 
+# Fixed value: largest sample for which the p-value is exact.
 EXACT_LIMIT = 10_000
 
 
@@ -203,7 +204,7 @@ def ks_test(
     column: str,
     other: str | None = None,
     buckets: int = 256,
-    exact_up_to: int = 0,
+    exact_up_to: int = EXACT_LIMIT,
 ) -> DataFrame:
     """``d, p_value, n1, n2`` of the two-sample Kolmogorov-Smirnov test, two-sided.
 
@@ -212,8 +213,8 @@ def ks_test(
     shifted by the totals of the ranges before it. No task sees more than about one range.
     The quantiles only balance the work: any cut gives the same result.
 
-    The p-value is asymptotic; samples of at most ``exact_up_to`` values each get the exact one.
-    An empty side gives p = 0.
+    Samples of at most ``exact_up_to`` values each get the exact p-value, larger ones the
+    asymptotic one. An empty side gives p = 0.
     """
     left = to_double(F.col(column))
     right = to_double(F.col(other or column))
@@ -281,45 +282,39 @@ def kolmogorov_tail(scaled: Column) -> Column:
     return F.when(scaled < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
-@F.pandas_udf("double")
-def exact_ks_p(d: pd.Series, n1: pd.Series, n2: pd.Series) -> pd.Series:
-    """Exact P(D >= d): the share of lattice paths from (0, 0) to (n1, n2) that leave the band
-    ``|i/n1 - j/n2| < d``. Works on the single row of test results."""
-    return pd.Series(
-        [
-            np.nan if pd.isna(gap) else _outside_share(float(gap), int(m), int(n))
-            for gap, m, n in zip(d, n1, n2)
-        ]
-    )
+def exact_ks_p(d: str, n1: str, n2: str) -> Column:
+    """Exact P(D >= d); meant for the single row of test results."""
+
+    @F.pandas_udf("double")
+    def probability(gaps: pd.Series, ms: pd.Series, ns: pd.Series) -> pd.Series:
+        return pd.Series(
+            [
+                None if pd.isna(gap) else outside_share(float(gap), int(m), int(n))
+                for gap, m, n in zip(gaps, ms, ns)
+            ],
+            dtype="float64",
+        )
 
+    return probability(d, n1, n2)
 
-def _outside_share(d: float, m: int, n: int) -> float:
-    """Row by row over i, ``inside[j]`` is the probability that a random path passes (i, j)
-    having stayed in the band, from the odds of stepping right or up at each point."""
+
+def outside_share(d: float, m: int, n: int) -> float:
+    """Share of the lattice paths from (0, 0) to (m, n) that leave ``|i/m - j/n| < d``.
+
+    Steps through the diagonals i + j = t, holding for each i the probability that a random path
+    is there and has stayed inside.
+    """
     if m == 0 or n == 0:
         return 0.0
     width = round(d * m * n)
-    j = np.arange(n + 1)
-    inside = np.zeros(n + 1)
-    for i in range(m + 1):
-        up = np.divide(n - j[:-1], m - i + n - j[:-1])
-        allowed = np.abs(i * n - j * m) < width
-        if i == 0:
-            entering = np.zeros(n + 1)
-            entering[0] = 1.0
-        else:
-            entering = inside * np.divide(m - i + 1, m - i + 1 + n - j)
-        inside = _climb(entering, up, allowed)
-    return float(min(1.0, max(0.0, 1.0 - inside[n])))
-
-
-def _climb(entering: np.ndarray, up: np.ndarray, allowed: np.ndarray) -> np.ndarray:
-    out = np.zeros_like(entering)
-    carried = 0.0
-    span = np.flatnonzero(allowed)
-    if not span.size:
-        return out
-    for j in range(span[0], span[-1] + 1):
-        carried = entering[j] + (carried * up[j - 1] if j > span[0] else 0.0)
-        out[j] = carried
-    return out
+    i = np.arange(m + 1)
+    inside = np.zeros(m + 1)
+    inside[0] = 1.0 if width > 0 else 0.0
+    for t in range(m + n):
+        left = m + n - t
+        right = inside * ((m - i) / left)
+        inside = inside * ((n - t + i) / left)
+        inside[1:] += right[:-1]
+        j = t + 1 - i
+        inside[(j < 0) | (j > n) | (np.abs(i * n - j * m) >= width)] = 0.0
+    return float(min(1.0, max(0.0, 1.0 - inside[m])))

@@ -23,6 +23,7 @@ from fieldlake.functions.text import (
 from fieldlake.session import broadcast_if_small, fits
 
 CATALOGUE_BOUND = 10_000
+TOKEN_BOUND = 500
 
 
 @dataclass(frozen=True)
@@ -179,41 +180,41 @@ def match_applications(
     catalogue: DataFrame,
     min_token_length: int = 1,
     key: str = "doc_id",
-    catalogue_bound: int = CATALOGUE_BOUND,
+    token_bound: int = TOKEN_BOUND,
 ) -> DataFrame:
     """Add ``applications`` and ``domains``: catalogue entries any of whose description words is
     a substring of any concept, and the union of their domains.
 
     Stop words in a description match broadly; ``min_token_length`` narrows that. A catalogue
-    within the bound is matched row by row without a join, a larger one by an equi-join on
-    substrings of the concepts.
+    with at most ``token_bound`` words is matched row by row without a join, a larger one by an
+    equi-join on substrings of the distinct concepts.
     """
     entries = _kept_tokens(catalogue, min_token_length)
-    if not fits(catalogue, catalogue_bound):
+    if not fits(entries.select(F.explode("tokens")), token_bound):
         return _match_by_join(analysed, entries, key)
     packed = entries.agg(
         F.array_sort(F.collect_list(F.struct("name", "domains", "tokens"))).alias("entries")
     ).scalar()
-    lowered = F.transform("concepts", lambda c: F.lower(c))
-    return (
-        analysed.withColumns({"_entries": packed, "_lowered": lowered})
-        .withColumn(
-            "_matched",
-            F.filter(
-                "_entries",
-                lambda e: F.exists(
-                    e["tokens"],
-                    lambda t: F.exists(F.col("_lowered"), lambda c: F.contains(c, t)),
-                ),
-            ),
+
+    def hits(concept: Column) -> Column:
+        lowered = F.lower(concept)
+        return F.filter(
+            F.col("_entries"), lambda e: F.exists(e["tokens"], lambda t: F.contains(lowered, t))
         )
+
+    # The concepts drive the outermost loop: an expression inside a lambda is evaluated anew
+    # for every element.
+    matched = F.array_distinct(F.flatten(F.transform("concepts", hits)))
+    return (
+        analysed.withColumn("_entries", packed)
+        .withColumn("_matched", matched)
         .withColumns(
             {
                 "applications": F.array_sort(F.array_distinct(F.col("_matched.name"))),
                 "domains": F.array_sort(F.array_distinct(F.flatten("_matched.domains"))),
             }
         )
-        .drop("_entries", "_lowered", "_matched")
+        .drop("_entries", "_matched")
     )
 
 
@@ -282,41 +283,53 @@ def concept_dataset(
     analysis: DataFrame, catalogue: DataFrame, as_of: Column | None = None, key: str = "doc_id"
 ) -> DataFrame:
     """One row per concept with the document's scores, and one per matched application with the
-    catalogue's description, potential and domains. Ids count from 0 within a document."""
+    catalogue's description, potential and domains. Ids count from 0 within a document.
+
+    Both kinds are unfolded from one row, so a document is analysed once.
+    """
     time = iso_text(F.current_timestamp() if as_of is None else as_of)
-    concept_rows = analysis.select("*", F.posexplode("concepts").alias("_position", "_item"))
-    concept_rows = concept_rows.select(
+
+    def item(prefix: str, kind: str, position: Column, text: Column, name: Column) -> Column:
+        return F.struct(
+            F.concat(F.lit(prefix), position).alias("id"),
+            F.lit(kind).alias("type"),
+            text.alias("_concept"),
+            name.alias("_name"),
+        )
+
+    nothing = F.lit(None).cast("string")
+    items = F.concat(
+        F.transform("concepts", lambda c, i: item("concept_", "quantum_concept", i, c, nothing)),
+        F.transform("applications", lambda a, i: item("app_", "quantum_application", i, nothing, a)),
+    )
+    unfolded = analysis.select(
         key,
-        F.concat(F.lit("concept_"), F.col("_position")).alias("id"),
-        F.lit("quantum_concept").alias("type"),
-        F.col("_item").alias("text"),
         "complexity_score",
         "market_potential",
         "sentiment_score",
-        F.col("domains").alias("business_domains"),
-        time.alias("timestamp"),
+        "domains",
+        F.inline_outer(items),
     )
     entries = catalogue.select(
-        F.col("name").alias("_item"),
+        F.col("name").alias("_name"),
         F.col("description").alias("_description"),
         F.col("domains").alias("_domains"),
         F.col("market_potential").alias("_potential"),
     )
-    application_rows = analysis.select("*", F.posexplode("applications").alias("_position", "_item"))
-    application_rows = application_rows.join(
-        broadcast_if_small(entries, CATALOGUE_BOUND), "_item"
-    ).select(
+    is_concept = F.col("_concept").isNotNull()
+    detailed = unfolded.join(broadcast_if_small(entries, CATALOGUE_BOUND), "_name", "left")
+    return detailed.filter(is_concept | F.col("_description").isNotNull()).select(
         key,
-        F.concat(F.lit("app_"), F.col("_position")).alias("id"),
-        F.lit("quantum_application").alias("type"),
-        F.col("_description").alias("text"),
+        "id",
+        "type",
+        F.coalesce("_concept", "_description").alias("text"),
         "complexity_score",
-        F.col("_potential").alias("market_potential"),
+        F.when(is_concept, F.col("market_potential")).otherwise(F.col("_potential"))
+        .alias("market_potential"),
         "sentiment_score",
-        F.col("_domains").alias("business_domains"),
+        F.when(is_concept, F.col("domains")).otherwise(F.col("_domains")).alias("business_domains"),
         time.alias("timestamp"),
     )
-    return concept_rows.unionByName(application_rows)
 
 
 def business_insights(
