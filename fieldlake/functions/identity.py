@@ -9,30 +9,25 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from fieldlake.functions.numeric import hex_to_long
+from fieldlake.functions.numeric import hex_to_long, nan_to_null
 from fieldlake.schema import SEED
 
-_SCORE_STEPS = 10_000_000
-
-
 def deterministic_score(*parts: Column, seed: int = SEED) -> Column:
-    """Score in [0, 1) of the concatenated parts: the first 64 hash bits modulo 1e7.
+    """Score in [0, 1) of the concatenated parts: the first 64 hash bits modulo 1e7, over 1e7.
 
-    The 64 bits are taken as two 32-bit halves, which keeps the modulo in BIGINT.
+    The modulo is read off as the last seven decimal digits of the unsigned number.
     """
     digest = F.sha2(F.concat(F.lit(str(seed)), *[p.cast("string") for p in parts]), 256)
-    high = hex_to_long(F.substring(digest, 1, 8))
-    low = hex_to_long(F.substring(digest, 9, 8))
-    carry = 2**32 % _SCORE_STEPS
-    return (((high % _SCORE_STEPS) * carry + low) % _SCORE_STEPS) / F.lit(float(_SCORE_STEPS))
+    number = F.conv(F.substring(digest, 1, 16), 16, 10)
+    return F.right(number, F.lit(7)).cast("int") / F.lit(1e7)
 
 
 def grid_field_id(lat: Column, lon: Column, precision: int = 3) -> Column:
     """``grid_<lat>_<lon>`` with rounded coordinates; a missing one reads ``nan``."""
 
     def text(value: Column) -> Column:
-        rounded = F.round(value.cast("double"), precision).cast("string")
-        return F.coalesce(F.when(rounded != "NaN", rounded), F.lit("nan"))
+        rounded = F.round(nan_to_null(value.cast("double")), precision)
+        return F.coalesce(rounded.cast("string"), F.lit("nan"))
 
     return F.concat(F.lit("grid_"), text(lat), F.lit("_"), text(lon))
 

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def to_double(column: Column) -> Column:
-    """Number of a text or numeric column; junk and NaN become NULL, also under ANSI."""
-    number = column.try_cast("double")
-    return F.when(~F.isnan(number), number)
+def nan_to_null(column: Column) -> Column:
+    return F.nanvl(column, F.lit(None).cast("double"))
 
 
-def nan_to_null(column: Column) -> Column:
-    return F.when(~F.isnan(column), column)
+def to_double(column: Column) -> Column:
+    """Number of a text or numeric column; junk and NaN become NULL, also under ANSI."""
+    return nan_to_null(column.try_cast("double"))
 
 
 def clamp(column: Column, low: float, high: float) -> Column:
@@ -72,6 +73,7 @@ def binary_to_long(bits: Column) -> Column:
 
 def row_mean(columns: list[Column]) -> Column:
     """Mean over the non-null columns of a row; NULL when all of them are null."""
-    present = F.array_compact(F.array(*[to_double(c) for c in columns]))
-    total = F.aggregate(present, F.lit(0.0), lambda acc, item: acc + item)
-    return F.when(F.size(present) > 0, total / F.size(present))
+    numbers = [to_double(c) for c in columns]
+    total = functools.reduce(Column.__add__, [F.coalesce(n, F.lit(0.0)) for n in numbers])
+    present = functools.reduce(Column.__add__, [n.isNotNull().cast("int") for n in numbers])
+    return F.try_divide(total, present)

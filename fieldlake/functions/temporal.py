@@ -40,7 +40,7 @@ def parse_timestamp(column: Column) -> Column:
     text = F.trim(column.cast("string"))
     year = F.regexp_extract(text, r"^([0-9]{4})(?:\.0*)?$", 1)
     first_day = F.make_date(year.try_cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
-    return F.when(year != "", first_day).otherwise(text.try_cast("timestamp"))
+    return F.coalesce(first_day, text.try_cast("timestamp"))
 
 
 def start_of_year(ts: Column) -> Column:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldlake.functions.numeric import clamp, coherence_tier, in_range
+from fieldlake.functions.numeric import clamp, coherence_tier, in_range, nan_to_null
 from fieldlake.schema import CRITICAL, RANGES, REQUIRED
 
 
@@ -19,11 +20,15 @@ def check_columns(df: DataFrame, required: list[str] = REQUIRED) -> DataFrame:
     return df
 
 
-def missing(df: DataFrame, name: str) -> Column:
-    """Whether a value is NULL or NaN."""
-    if dict(df.dtypes)[name] in ("double", "float"):
-        return F.col(name).isNull() | F.isnan(name)
-    return F.col(name).isNull()
+def present(df: DataFrame, names: list[str]) -> dict[str, Column]:
+    """Per column, whether it has a value: neither NULL nor NaN."""
+    kinds = dict(df.dtypes)
+
+    def known(name: str) -> Column:
+        column = F.col(name)
+        return (nan_to_null(column) if kinds[name] in ("double", "float") else column).isNotNull()
+
+    return {name: known(name) for name in names}
 
 
 def drop_incomplete(
@@ -32,10 +37,8 @@ def drop_incomplete(
     """Drop rows with a NULL or NaN in a critical column, or fail on the first sign of one."""
     if drop_invalid:
         return df.dropna(subset=critical)
-    incomplete = F.lit(False)
-    for name in critical:
-        incomplete = incomplete | missing(df, name)
-    if df.filter(incomplete).limit(1).count():
+    complete = functools.reduce(Column.__and__, present(df, critical).values())
+    if df.filter(~complete).limit(1).count():
         raise ValueError("Nulls found in critical columns")
     return df
 
@@ -79,21 +82,32 @@ def with_violations(
     ranges: dict[str, tuple[float, float]] = RANGES,
 ) -> DataFrame:
     """Add ``violations``: the reasons why a row is not clean, sorted by name."""
-    reasons = {f"{name}:missing": missing(df, name) for name in critical}
+    reasons = {f"{name}:missing": ~known for name, known in present(df, critical).items()}
     for name, (low, high) in ranges.items():
         if name in df.columns:
-            known = ~missing(df, name)
-            reasons[f"{name}:low"] = known & (F.col(name) < low)
-            reasons[f"{name}:high"] = known & (F.col(name) > high)
+            value = nan_to_null(F.col(name))
+            reasons[f"{name}:low"] = value < low
+            reasons[f"{name}:high"] = value > high
     flags = [F.when(reasons[key], F.lit(key)) for key in sorted(reasons)]
     return df.withColumn("violations", F.array_compact(F.array(*flags)))
 
 
+def is_clean(
+    df: DataFrame,
+    critical: list[str] = CRITICAL,
+    ranges: dict[str, tuple[float, float]] = RANGES,
+) -> Column:
+    """Whether a row is complete and in range; never NULL."""
+    bounded = [name for name in ranges if name in df.columns]
+    checks = [F.col(c).between(*[F.lit(x) for x in ranges[c]]) for c in bounded]
+    checks += present(df, [name for name in critical if name not in bounded]).values()
+    return F.coalesce(functools.reduce(Column.__and__, checks), F.lit(False))
+
+
 def quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Clean rows as they are, and rejected rows with their ``violations``."""
-    tagged = with_violations(check_columns(df))
-    clean = tagged.filter(F.size("violations") == 0).drop("violations")
-    return clean, tagged.filter(F.size("violations") > 0)
+    clean = is_clean(check_columns(df))
+    return df.filter(clean), with_violations(df.filter(~clean))
 
 
 def recent(

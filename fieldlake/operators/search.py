@@ -38,11 +38,15 @@ def similar(
     ``query`` is one row with the query vector. It reaches the scan as a constant, every task
     keeps its best ``k``. Ties go to the smaller id.
     """
-    target = query.select(vector).scalar()
-    scored = items.withColumn("score", dot(F.col(vector), target))
+    scored = _with_score(items, vector, query, vector)
     return top_n(scored, [F.desc("score"), F.asc(item_id)], k)
 
 
+def _with_score(items: DataFrame, vector: str, query: DataFrame, query_vector: str) -> DataFrame:
+    target = items.withColumn("_query", query.select(query_vector).scalar())
+    return target.withColumn("score", dot(F.col(vector), F.col("_query"))).drop("_query")
+
+
 def search_text(
     items: DataFrame,
     text: str,
@@ -115,19 +119,23 @@ def similar_batch(
         f"query_id {named.schema['query_id'].dataType.simpleString()}, "
         f"item_id {things.schema['item_id'].dataType.simpleString()}, score double"
     )
-    rows = named.limit(max_queries + 1).collect()
-    if len(rows) <= max_queries:
-        partial = _per_task(things, rows, k, schema)
+    first = named.limit(max_queries + 1).toArrow()
+    if first.num_rows <= max_queries:
+        partial = _per_task(things, first, k, schema)
     else:
         partial = _per_block_pair(things, named, k, schema, max_queries)
     return top_per_group(partial, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
 
 
-def _per_task(items: DataFrame, queries: list, k: int, schema: str) -> DataFrame:
-    if not queries:
+def _matrix(vectors: pa.Array, rows: int) -> np.ndarray:
+    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
+
+
+def _per_task(items: DataFrame, queries: pa.Table, k: int, schema: str) -> DataFrame:
+    if not queries.num_rows:
         return items.sparkSession.createDataFrame([], schema)
-    query_ids = np.array([row["query_id"] for row in queries])
-    matrix = np.array([row["vector"] for row in queries], dtype=np.float64)
+    query_ids = queries.column("query_id").combine_chunks()
+    matrix = _matrix(queries.column("vector").combine_chunks(), queries.num_rows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
@@ -135,15 +143,15 @@ def _per_task(items: DataFrame, queries: list, k: int, schema: str) -> DataFrame
             if not batch.num_rows:
                 continue
             ids = _sortable(batch.column("item_id").to_numpy(zero_copy_only=False))
-            flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-            found = _rank_block(matrix, ids, flat.astype(np.float64).reshape(len(ids), -1), k)
+            found = _rank_block(matrix, ids, _matrix(batch.column("vector"), len(ids)), k)
             if best is not None:
                 found = _first_k(*[np.concatenate(pair) for pair in zip(best, found)], k)
             best = found
         if best is not None:
             query, ids, scores = best
+            kind = batch.schema.field("item_id").type
             yield pa.RecordBatch.from_arrays(
-                [pa.array(query_ids[query]), pa.array(ids), pa.array(scores)],
+                [query_ids.take(pa.array(query)), pa.array(ids, kind), pa.array(scores)],
                 names=["query_id", "item_id", "score"],
             )
 
@@ -226,7 +234,7 @@ def build_index(
 def nearest_cells(spark: SparkSession, path: str, query: DataFrame, probes: int, vector: str) -> list:
     """Ids of the ``probes`` cells whose centres score highest; the centres are as few as cells."""
     centres = spark.read.parquet(f"{path}/centres")
-    scored = centres.withColumn("score", dot(F.col("centre"), query.select(vector).scalar()))
+    scored = _with_score(centres, "centre", query, vector)
     return [row["cell"] for row in top_n(scored, [F.desc("score"), F.asc("cell")], probes).collect()]
 
 

@@ -20,7 +20,7 @@ from fieldlake.functions.text import (
     present_keywords,
     word_count,
 )
-from fieldlake.session import broadcast_if_small, fits
+from fieldlake.session import broadcast_if_small, fits, materialise
 
 CATALOGUE_BOUND = 10_000
 TOKEN_BOUND = 500
@@ -220,7 +220,9 @@ def match_applications(
 
 def _match_by_join(analysed: DataFrame, entries: DataFrame, key: str) -> DataFrame:
     """Substring match as an equi-join: a token is in a concept if it equals one of the concept's
-    substrings of its length. Distinct concepts are cut up, not every mention."""
+    substrings of its length. Distinct concepts are cut up, not every mention. The analysed rows
+    are stored first, because they are used three times and came from whole texts."""
+    analysed = materialise(analysed, "analysed")
     tokens = entries.select("name", F.explode("tokens").alias("token")).distinct()
     lengths = tokens.agg(F.collect_set(F.length("token")).alias("lengths")).scalar()
     mentions = analysed.select(key, F.explode("concepts").alias("concept"))
@@ -266,7 +268,7 @@ def analyse(
     min_token_length: int = 1,
 ) -> DataFrame:
     """Concepts, scores, applications and domains of every document; the text is left behind."""
-    scored = score_texts(extract_concepts(documents, lexicon, text), lexicon, text)
+    scored = score_texts(extract_concepts(documents, lexicon, text), lexicon, text).drop(text)
     matched = match_applications(scored, catalogue, min_token_length, key)
     return matched.select(
         key,

@@ -23,6 +23,7 @@ from fieldlake.operators.mapping import (
 )
 from fieldlake.operators.quality import gate
 from fieldlake.schema import DEFAULT_MOISTURE, DEFAULT_TEMPERATURE
+from fieldlake.session import materialise
 
 INTEGRATED = [
     "timestamp",
@@ -67,10 +68,23 @@ def merge_datasets(
     return gate(tag_scenario(filled)).select(*INTEGRATED)
 
 
-def integrate(raw_soils: DataFrame, grid: DataFrame, expand: bool | None = None) -> DataFrame:
-    """Raw soil records and a long moisture grid, by spatial means per time step."""
-    annual = annual_moisture(grid, "step_mean")
-    return merge_datasets(map_database_soil(raw_soils), annual, True, expand)
+def integrate(
+    raw_soils: DataFrame,
+    grid: DataFrame,
+    expand: bool | None = None,
+    store_mapped: bool = False,
+) -> DataFrame:
+    """Raw soil records and a long moisture grid, by spatial means per time step.
+
+    The annual means, a row per year, are stored once instead of being recomputed wherever they
+    are used. The soil records are read up to three times, twice for their years and moisture
+    only; ``store_mapped`` stores them as mapped, which pays off if they come from text files.
+    """
+    annual = materialise(annual_moisture(grid, "step_mean"), "annual")
+    soils = map_database_soil(raw_soils)
+    if store_mapped:
+        soils = materialise(soils, "soils")
+    return merge_datasets(soils, annual, True, expand)
 
 
 def integrate_local(raw_soils: DataFrame, grid: DataFrame) -> DataFrame:
@@ -79,6 +93,6 @@ def integrate_local(raw_soils: DataFrame, grid: DataFrame) -> DataFrame:
     A record whose temperature column exists but is empty is dropped by the gate.
     """
     soils = with_year(map_local_soil(raw_soils))
-    annual = annual_moisture(grid, "cell_month")
+    annual = materialise(annual_moisture(grid, "cell_month"), "annual")
     filled = fill_moisture(join_annual(soils, annual, one_row_per_year=True), DEFAULT_MOISTURE)
     return gate(tag_scenario(filled)).select(*INTEGRATED)

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +20,27 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def ship_package(spark: SparkSession) -> SparkSession:
+    """Make this package importable in the Python workers, once per application.
+
+    Needed where it is not installed on the executors; only the Arrow kernels use it there.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_fieldlake_shipped", False):
+        return spark
+    package = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="fieldlake-package-"), "fieldlake.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(package):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(package)))
+    context.addPyFile(archive)
+    context._fieldlake_shipped = True
+    return spark
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder that every executor can reach, as named by the cluster.
 
@@ -38,6 +61,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fieldlake/{name}-{uuid.uuid4().hex}"
 
 
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a table in the shared folder, so that what made it runs once. Eager."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def fits(df: DataFrame, max_rows: int) -> bool:
     """Whether ``df`` has at most ``max_rows`` rows; reads no more than that plus one."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -15,6 +15,8 @@ def profile(df: DataFrame) -> DataFrame:
     measures = [F.count(F.lit(1)).alias("_rows")]
     for position, field in enumerate(simple):
         column = F.col(f"`{field.name}`")
+        if field.dataType.typeName() in ("double", "float"):
+            column = column + F.lit(0.0)  # -0.0 reads as 0.0
         measures += [
             F.count(column).alias(f"_present_{position}"),
             F.min(column).cast("string").alias(f"_min_{position}"),

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from fieldlake.functions.numeric import nan_to_null
 from fieldlake.session import use_utc
 
 
@@ -29,8 +30,7 @@ def normalise(df: DataFrame) -> DataFrame:
         if field.dataType.typeName() == "timestamp_ntz":
             changes[field.name] = F.col(f"`{field.name}`").cast("timestamp")
         elif isinstance(field.dataType, (DoubleType, FloatType)):
-            column = F.col(f"`{field.name}`")
-            changes[field.name] = F.when(~F.isnan(column), column)
+            changes[field.name] = nan_to_null(F.col(f"`{field.name}`")).cast(field.dataType)
     return df.withColumns(changes) if changes else df
 
 

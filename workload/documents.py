@@ -40,7 +40,7 @@ def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(
         F.concat(F.lit("item_"), item).alias("name"),
         F.col("text").alias("description"),
-        F.array_distinct(F.array(*domains)).alias("domains"),
+        F.array_sort(F.array_distinct(F.array(*domains))).alias("domains"),
         F.element_at(F.array(F.lit("low"), F.lit("medium"), F.lit("high")), (item % 3 + 1).cast("int"))
         .alias("market_potential"),
     )
@@ -84,7 +84,8 @@ scored AS (
 CATALOGUE = """
 catalogue AS (
   SELECT 'item_' || item_id AS name, text AS description,
-         list_distinct(['domain_' || (item_id % 6), 'domain_' || (item_id % 4)]) AS domains,
+         list_sort(list_distinct(['domain_' || (item_id % 6), 'domain_' || (item_id % 4)]))
+           AS domains,
          ['low', 'medium', 'high'][item_id % 3 + 1] AS market_potential FROM benchmark)
 """
 

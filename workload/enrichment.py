@@ -128,8 +128,12 @@ def year_expansion(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def soil_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = map_database_soil(raw_soil(spark, sf_dir)).drop("moisture", "temperature")
-    return rounded(mapped.withColumn("timestamp", time_text("timestamp")), 7).withColumns(
-        {c: F.round(c, 6) for c in ("soil_ph", "nitrogen", "phosphorus", "potassium")}
+    return mapped.withColumns(
+        {
+            "timestamp": time_text("timestamp"),
+            **{c: F.round(c, 6) for c in ("soil_ph", "nitrogen", "phosphorus", "potassium")},
+            "q_value": F.round("q_value", 7),
+        }
     )
 
 
@@ -216,8 +220,8 @@ _CLAMPED = """
   greatest(0::DOUBLE, least(100::DOUBLE, moisture)) AS moisture"""
 _MEANS = ", ".join(
     f"round(avg({c}), 6) AS {c}"
-    for c in ("soil_ph", "nitrogen", "phosphorus", "potassium", "moisture", "q_value")
-)
+    for c in ("soil_ph", "nitrogen", "phosphorus", "potassium", "moisture")
+) + ", round(max(q_value), 7) AS q_value"
 
 
 @query(
@@ -279,9 +283,13 @@ def integrate_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _field_years(merged: DataFrame) -> DataFrame:
-    columns = ["soil_ph", "nitrogen", "phosphorus", "potassium", "moisture", "q_value"]
-    grouped = merged.groupBy("field_id", "year")
-    return rounded(grouped.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in columns]))
+    columns = ["soil_ph", "nitrogen", "phosphorus", "potassium", "moisture"]
+    means = merged.groupBy("field_id", "year").agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.round(F.avg(c), 6).alias(c) for c in columns],
+        F.round(F.max("q_value"), 7).alias("q_value"),
+    )
+    return means
 
 
 @query(

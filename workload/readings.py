@@ -391,9 +391,10 @@ _PROFILED = [
 @query(
     "\nUNION ALL\n".join(
         f"""SELECT '{c}' AS "column", '{kind}' AS "type", count(*) AS "rows",
-        count(*) - count({c}) AS "nulls", CAST(min({c}) AS VARCHAR) AS "min",
-        CAST(max({c}) AS VARCHAR) AS "max" FROM lineitem"""
+        count(*) - count({c}) AS "nulls", CAST(min({c}){zero} AS VARCHAR)
+        AS "min", CAST(max({c}){zero} AS VARCHAR) AS "max" FROM lineitem"""
         for c, kind in _PROFILED
+        for zero in (" + 0.0::DOUBLE" if kind == "double" else "",)
     )
 )
 def profile_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The domain tables as views of the driver's tables, in Spark and in SQL.
 
-Each view covers its whole table: it renames and derives columns, and leaves no row out.
+Each view covers its whole table: it renames and derives columns, and leaves no row out. The
+odd divisors keep means off the exact halves that engines round differently.
 """
 
 from __future__ import annotations
@@ -10,17 +11,18 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions.identity import deterministic_score
 from fieldlake.functions.temporal import second_text
+from fieldlake.session import ship_package
 from fieldlake.sources.grids import moisture_grid
-from fieldlake.sources.tables import normalise, read_parquet
+from fieldlake.sources.tables import normalise, read_parquet, spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return normalise(read_parquet(spark, f"{sf_dir}/{name}.parquet"))
+    return normalise(read_parquet(ship_package(spark), f"{sf_dir}/{name}.parquet"))
 
 
 def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings from ``events``, with the event id kept as a key."""
-    return as_readings(table(spark, sf_dir, "events"))
+    return as_readings(spread(table(spark, sf_dir, "events")))
 
 
 def as_readings(events: DataFrame) -> DataFrame:
@@ -91,7 +93,7 @@ def grid(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("o_orderdate").alias("time"),
             (10 + F.col("o_custkey") % 7).cast("double").alias("lat"),
             (20 + F.col("o_custkey") % 5).cast("double").alias("lon"),
-            F.when(usable, F.col("o_totalprice") / 5000).alias("soil_moisture"),
+            F.when(usable, F.col("o_totalprice") / 4999).alias("soil_moisture"),
         )
     )
 
@@ -101,7 +103,7 @@ grid AS (
   SELECT o_orderdate AS "time", CAST(10 + o_custkey % 7 AS DOUBLE) AS lat,
          CAST(20 + o_custkey % 5 AS DOUBLE) AS lon,
          CASE WHEN o_orderstatus <> 'P' AND year(o_orderdate) <> 1997
-              THEN o_totalprice / 5000 END AS soil_moisture
+              THEN o_totalprice / 4999 END AS soil_moisture
   FROM orders)
 """
 
@@ -126,7 +128,7 @@ annual AS (SELECT CAST(year(mon) AS INTEGER) AS "year", avg(m) AS moisture FROM
 
 def raw_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loosely formatted soil records from ``lineitem``: text columns with junk in them."""
-    items = table(spark, sf_dir, "lineitem")
+    items = spread(table(spark, sf_dir, "lineitem"))
     year = F.year("l_shipdate").cast("string")
     return items.select(
         F.col("l_orderkey").alias("record"),
@@ -134,11 +136,11 @@ def raw_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("l_partkey") % 40 / 4 - 5).cast("string").alias("Latitude"),
         (F.col("l_suppkey") % 50 / 4).cast("string").alias("Longitude"),
         F.when(F.col("l_linenumber") == 7, "unknown").otherwise(year).alias("SamplingYear"),
-        (F.col("l_quantity") / 4).cast("string").alias("pH_C"),
-        F.when(F.col("l_returnflag") != "R", (F.col("l_quantity") / 8).cast("string"))
+        (F.col("l_quantity") / 7).cast("string").alias("pH_C"),
+        F.when(F.col("l_returnflag") != "R", (F.col("l_quantity") / 9).cast("string"))
         .otherwise("n/a")
         .alias("pH_T"),
-        (F.col("l_extendedprice") / 1024).cast("string").alias("N_C"),
+        (F.col("l_extendedprice") / 1009).cast("string").alias("N_C"),
         F.col("l_linestatus").alias("N_T"),
         (F.col("l_discount") * 400).cast("string").alias("P_C"),
         (F.col("l_tax") * 1000).cast("string").alias("K"),
@@ -150,9 +152,9 @@ raw_soil AS (
   SELECT l_orderkey AS record, l_linenumber AS line,
          (l_partkey % 40) / 4.0::DOUBLE - 5 AS lat, (l_suppkey % 50) / 4.0::DOUBLE AS lon,
          CASE WHEN l_linenumber <> 7 THEN CAST(year(l_shipdate) AS INTEGER) END AS "year",
-         CASE WHEN l_returnflag <> 'R' THEN (l_quantity / 4 + l_quantity / 8) / 2
-              ELSE l_quantity / 4 END AS soil_ph,
-         l_extendedprice / 1024 AS nitrogen, l_discount * 400 AS phosphorus,
+         CASE WHEN l_returnflag <> 'R' THEN (l_quantity / 7 + l_quantity / 9) / 2
+              ELSE l_quantity / 7 END AS soil_ph,
+         l_extendedprice / 1009 AS nitrogen, l_discount * 400 AS phosphorus,
          l_tax * 1000 AS potassium
   FROM lineitem),
 placed AS (
