@@ -35,12 +35,14 @@ def parse_timestamp(column: Column) -> Column:
     """Timestamp of loosely formatted text.
 
     A bare four-digit number (``1998`` or ``1998.0``) is a year and means its first day.
-    Anything else goes through Spark's own parser; what it rejects becomes NULL.
+    Anything else goes through Spark's own parser; what it rejects becomes NULL, and so do
+    numbers of five and more digits, which it would take for far-off years.
     """
     text = F.trim(column.cast("string"))
     year = F.regexp_extract(text, r"^([0-9]{4})(?:\.0*)?$", 1)
     first_day = F.make_date(year.try_cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
-    return F.coalesce(first_day, text.try_cast("timestamp"))
+    written = F.regexp_replace(text, r"^[+-]?[0-9]{5,}.*", "")
+    return F.coalesce(first_day, written.try_cast("timestamp"))
 
 
 def start_of_year(ts: Column) -> Column:

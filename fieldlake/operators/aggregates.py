@@ -110,7 +110,8 @@ def histograms(df: DataFrame, columns: list[str], bins: int = 30) -> DataFrame:
     for c in columns:
         span = F.col("_ranges")[c]
         step = F.floor((F.col(c) - span["low"]) / (span["high"] - span["low"]) * bins)
-        entries.append(F.struct(F.lit(c).alias("column"), F.least(step, F.lit(bins - 1)).alias("bin")))
+        last = F.when(step >= bins, F.lit(bins - 1)).otherwise(step)
+        entries.append(F.struct(F.lit(c).alias("column"), last.cast("bigint").alias("bin")))
     counted = (
         ranged.select(F.inline(F.array(*entries)))
         .filter(F.col("bin").isNotNull())

@@ -174,7 +174,7 @@ def _per_block_pair(
     spread_queries = queries.select(
         "query_id",
         "vector",
-        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).cast("bigint").alias("g"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("g"),
         F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("b"),
     )
 

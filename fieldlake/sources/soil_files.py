@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import csv
 import functools
+import re
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldlake.operators.rows import union_by_name
@@ -22,6 +24,9 @@ from fieldlake.session import use_utc
 # Fixed value: naming of the curated main tables, as opposed to large grid exports.
 CURATED_GLOB = "SoilHealthDB_V*.csv"
 
+# What Spark reports when no file matches.
+_NO_FILES = {"UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"}
+
 
 @dataclass
 class SoilFiles:
@@ -57,14 +62,24 @@ def describe_csv_files(spark: SparkSession, root: str, glob: str = "*.csv") -> D
 
 
 def _list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
-    """Paths only: the content column is pruned, so no file is opened."""
-    return (
+    """Paths from the file listing alone, which unlike a scan includes files of no bytes."""
+    files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
         .load(root)
-        .select("path")
     )
+    return _paths(spark, files.inputFiles())
+
+
+def _paths(spark: SparkSession, uris: list[str]) -> DataFrame:
+    listed = spark.createDataFrame([(uri,) for uri in uris], "path string")
+    return listed.select(_one_slash("path").alias("path"))
+
+
+def _one_slash(uri: str) -> Column:
+    """``file:///a`` and ``file:/a`` spelled one way; listings and metadata differ in it."""
+    return F.regexp_replace(uri, "^([a-z0-9]+):/+", "$1:/")
 
 
 def _header_names(header: str) -> list[str]:
@@ -100,26 +115,25 @@ def read_csv_files(spark: SparkSession, root: str, glob: str = "*.csv") -> SoilF
     usable = [row for row in described if row["lines"] > 1]
     groups: dict[tuple[str, bool], list[str]] = {}
     for row in sorted(usable, key=lambda r: r["path"]):
-        groups.setdefault((row["header"], row["valid_utf8"]), []).append(row["path"])
+        groups.setdefault((row["header"], row["valid_utf8"]), []).append(_literal(row["path"]))
     if not groups:
         raise FileNotFoundError(f"no usable {glob} file below {root}")
     frames = [
         _read_csv_group(spark, paths, header, utf8) for (header, utf8), paths in groups.items()
     ]
     table = functools.reduce(union_by_name, frames)
-    used = spark.createDataFrame([(row["path"],) for row in usable], "path string")
+    used = _paths(spark, [row["path"] for row in usable])
     skipped = (
         _list_files(spark, root, glob)
-        .select(_plain_path("path").alias("path"))
-        .join(used.select(_plain_path("path").alias("path")), "path", "left_anti")
+        .join(used, "path", "left_anti")
         .withColumn("reason", F.lit("no records"))
     )
     return SoilFiles(table, skipped)
 
 
-def _plain_path(name: str):
-    """``file:/a``, ``file:///a`` and percent signs spelled one way."""
-    return F.url_decode(F.regexp_replace(name, "^([a-z0-9]+):/+", "$1:/"))
+def _literal(uri: str) -> str:
+    """A path as the reader takes it: percent escapes resolved, glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
 def read_parquet_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> SoilFiles:
@@ -132,10 +146,9 @@ def read_parquet_files(spark: SparkSession, root: str, glob: str = "*.parquet")
         .option("ignoreCorruptFiles", True)
         .parquet(root)
     )
-    used = scan.select(_plain_path("_metadata.file_path").alias("path")).distinct()
+    used = scan.select(_one_slash("_metadata.file_path").alias("path")).distinct()
     skipped = (
         _list_files(spark, root, glob)
-        .select(_plain_path("path").alias("path"))
         .join(used, "path", "left_anti")
         .withColumn("reason", F.lit("unreadable or empty"))
     )
@@ -153,8 +166,11 @@ def read_soil_files(spark: SparkSession, root: str) -> SoilFiles:
     for reader in (read_csv_files, read_parquet_files):
         try:
             found.append(reader(spark, root))
-        except (FileNotFoundError, AnalysisException):
+        except FileNotFoundError:
             continue
+        except AnalysisException as error:
+            if error.getCondition() not in _NO_FILES:
+                raise
     if not found:
         raise FileNotFoundError(f"no usable .csv or .parquet file below {root}")
     return SoilFiles(
