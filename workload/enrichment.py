@@ -315,7 +315,7 @@ def temperature_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.col("ts").alias("timestamp"),
         *place,
-        F.when((k >= 3) & (1.2 * k - 5 >= 50), F.col("value") / 4 - 22).alias("temperature"),
+        F.when((k >= 3) & (1.2 * k - 5 >= 50), F.col("value") / 4.1 - 22).alias("temperature"),
     )
     weather = events.filter(F.col("event_type").isin("view", "error")).select(
         *place, F.col("ts").alias("date"), (F.col("value") / 10).alias("temperature")

@@ -31,12 +31,12 @@ def as_readings(events: DataFrame) -> DataFrame:
         "event_id",
         F.col("ts").alias("timestamp"),
         F.concat(F.lit("field_"), F.col("user_id") % 5 + 1).alias("field_id"),
-        (3 + F.col("value") / 40).alias("soil_ph"),
-        (F.col("value") / 2).alias("nitrogen"),
+        (3 + F.col("value") / 41).alias("soil_ph"),
+        (F.col("value") / 2.1).alias("nitrogen"),
         (0.6 * F.col("k")).alias("phosphorus"),
         (F.col("value") / 3).alias("potassium"),
         F.when(F.col("k") >= 3, 1.2 * F.col("k") - 5).alias("moisture"),
-        (F.col("value") / 4 - 22).alias("temperature"),
+        (F.col("value") / 4.1 - 22).alias("temperature"),
         F.col("event_type").alias("scenario"),
         deterministic_score(F.col("event_id"), second_text(F.col("ts"))).alias("q_value"),
     )
@@ -49,9 +49,9 @@ def score_sql(text: str) -> str:
 SENSORS = f"""
 sensors AS (
   SELECT event_id, ts AS "timestamp", 'field_' || (user_id % 5 + 1) AS field_id,
-         3 + value / 40 AS soil_ph, value / 2 AS nitrogen, 0.6 * k AS phosphorus,
+         3 + value / 41 AS soil_ph, value / 2.1 AS nitrogen, 0.6 * k AS phosphorus,
          value / 3 AS potassium, CASE WHEN k >= 3 THEN 1.2 * k - 5 END AS moisture,
-         value / 4 - 22 AS temperature, event_type AS scenario,
+         value / 4.1 - 22 AS temperature, event_type AS scenario,
          {score_sql("'42' || event_id || strftime(ts, '%Y-%m-%d %H:%M:%S')")} AS q_value
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events))
 """
