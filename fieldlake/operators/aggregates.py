@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from fieldlake.functions.numeric import to_double
 from fieldlake.functions.temporal import parse_timestamp
 from fieldlake.functions.text import title_words
-from fieldlake.operators.rows import merged_list
 
 
 def mean_by(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -143,5 +142,10 @@ def series(
 
 
 def element_union(df: DataFrame, elements: str, keys: list[str] | None = None) -> DataFrame:
-    """Sorted union of the array column, overall or per group."""
-    return df.groupBy(*(keys or [])).agg(merged_list(F.col(elements)).alias(elements))
+    """Sorted union of the array column, overall or per group.
+
+    Elements are made distinct before they are gathered, so a group costs as much as its result.
+    """
+    keys = keys or []
+    pairs = df.select(*keys, F.explode(elements).alias("_element")).distinct()
+    return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list("_element")).alias(elements))

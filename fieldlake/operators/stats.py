@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions.numeric import to_double
 from fieldlake.operators.mapping import first_present
+from fieldlake.operators.rows import with_range_bucket
 
 # Fixed value: names a yield column goes by, in order of preference.
 TARGETS = ["yield", "crop_yield", "YIELD", "Yield"]
@@ -224,16 +225,7 @@ def ks_test(
     counts = pooled.dropna(subset=["x"]).groupBy("x").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b")
     )
-    cuts = [i / buckets for i in range(1, buckets)]
-    bounds = counts.agg(
-        F.coalesce(
-            F.percentile_approx("x", cuts, 10_000), F.array().cast("array<double>")
-        ).alias("bounds")
-    ).scalar()
-    placed = counts.withColumn("_bounds", bounds).withColumn(
-        "bucket", F.size(F.filter("_bounds", lambda bound: bound < F.col("x")))
-    )
-    placed = placed.drop("_bounds")
+    placed = with_range_bucket(counts, "x", buckets, "bucket")
     inside = Window.partitionBy("bucket").orderBy("x")
     running = placed.select(
         "bucket", F.sum("a").over(inside).alias("a"), F.sum("b").over(inside).alias("b")
@@ -245,7 +237,7 @@ def ks_test(
         placed.groupBy("bucket")
         .agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
         .select(
-            "bucket",
+            F.col("bucket").alias("of"),
             F.coalesce(F.sum("sa").over(before), F.lit(0)).alias("oa"),
             F.coalesce(F.sum("sb").over(before), F.lit(0)).alias("ob"),
             F.sum("sa").over(everything).alias("n1"),
@@ -254,7 +246,8 @@ def ks_test(
     )
     gap = F.abs((F.col("a") + F.col("oa")) / F.col("n1") - (F.col("b") + F.col("ob")) / F.col("n2"))
     both = (F.col("n1") > 0) & (F.col("n2") > 0)
-    found = running.join(F.broadcast(offsets), "bucket").agg(
+    same = F.col("bucket").eqNullSafe(F.col("of"))
+    found = running.join(F.broadcast(offsets), same).agg(
         F.max(F.when(both, gap)).alias("d"),
         F.coalesce(F.max("n1"), F.lit(0)).alias("n1"),
         F.coalesce(F.max("n2"), F.lit(0)).alias("n2"),

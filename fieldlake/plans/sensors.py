@@ -11,6 +11,7 @@ from fieldlake.operators.forecast import forecast
 from fieldlake.operators.rows import top_n
 from fieldlake.operators.search import build_index, search_text
 from fieldlake.operators.serialise import with_reading_json
+from fieldlake.operators.whatif import stress_test
 from fieldlake.sinks.writers import load_readings, replace_parquet, write_csv
 from fieldlake.sources.generator import generate_readings, without_coherence
 from fieldlake.sources.tables import read_parquet
@@ -69,6 +70,11 @@ def run_sensor_pipeline(
     return run
 
 
+def run_stress_test(spark: SparkSession, samples: int = 200, fields: int = 3) -> DataFrame:
+    """Baseline against drought for generated readings: ``metric, baseline, drought, delta``."""
+    return stress_test(generate_readings(spark, "baseline", samples, fields))
+
+
 def preview(readings: DataFrame, order: list, n: int = 10) -> DataFrame:
     """The first rows in a stated order."""
     return top_n(readings, order, n)

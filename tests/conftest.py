@@ -1,3 +1,5 @@
+import contextlib
+import io
 import os
 import sys
 
@@ -38,6 +40,9 @@ def plan_of():
     """Text of a DataFrame's physical plan."""
 
     def text(df):
-        return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            df.explain("formatted")
+        return out.getvalue()
 
     return text

@@ -202,3 +202,16 @@ def test_aggregate_helpers(spark):
     assert [r["k"] for r in aggregates.distinct_values(df, "k").collect()] == ["a", "b"]
     flags = aggregates.holds(df, F.col("v") > 2).first()
     assert flags["any"] and not flags["all"]
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_positions_in_a_dominant_group(spark, buckets):
+    df = spark.range(500).select(
+        F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 < 9, F.col("id").cast("string"))
+        .alias("g"),
+        (F.col("id") * 37 % 500).alias("o"),
+    ).withColumn("o", F.when(F.col("o") != 3, F.col("o")))
+    out = rows.number_within(df, ["g"], "o", "position", buckets).collect()
+    for group in {r["g"] for r in out}:
+        own = sorted((r for r in out if r["g"] == group), key=lambda r: -1 if r["o"] is None else r["o"])
+        assert [r["position"] for r in own] == list(range(len(own)))

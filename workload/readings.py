@@ -336,8 +336,21 @@ def head_by_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def position_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    numbered = number_within(turns, ["conv_id"], [F.asc("turn")], "position")
-    return numbered.select("conv_id", "turn", F.col("position").cast("bigint").alias("position"))
+    numbered = number_within(turns, ["conv_id"], "turn", "position")
+    return numbered.select("conv_id", "turn", "position")
+
+
+@query(
+    """SELECT l_orderkey, l_linenumber, l_returnflag,
+         row_number() OVER (PARTITION BY l_returnflag
+           ORDER BY CAST(l_orderkey AS BIGINT) * 16 + l_linenumber) - 1 AS position
+       FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag FROM lineitem)"""
+)
+def position_within_large_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three groups of a third of the table each, every one shared by many tasks."""
+    items = distinct_rows(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber", "l_returnflag"])
+    keyed = items.withColumn("order", F.col("l_orderkey") * 16 + F.col("l_linenumber"))
+    return number_within(keyed, ["l_returnflag"], "order", "position").drop("order")
 
 
 @query(
