@@ -6,6 +6,8 @@ partitioning, any retry and any engine that knows SHA-256.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,27 +55,38 @@ def normals(digest: Column, count: int) -> list[Column]:
     return out[:count]
 
 
-def mean_of_draws(seed: Column, bits: int = 3, draws: int = 64) -> Column:
-    """Mean of ``draws`` uniform integers of ``bits`` bits each, scaled to [0, 1].
+_DIGITS = "0123456789abcdef"
+
 
-    Every hex digit of a SHA-256 digest is one draw (its lowest ``bits`` bits), so 64 draws
-    cost one hash; more draws chain further digests. Digits are summed by counting how often
-    each of the 2**bits values occurs, which stays in generated code.
+def draw_digits(seed: Column, bits: int = 3, draws: int = 64) -> Column:
+    """``draws`` uniform integers of ``bits`` bits each, as a string of hex digits.
+
+    Every digit of a SHA-256 digest is one draw (its lowest ``bits`` bits), so 64 draws cost one
+    hash; more draws chain further digests.
     """
     if not 1 <= bits <= 4:
         raise ValueError("bits must be between 1 and 4")
     if draws < 1:
         raise ValueError("draws must be positive")
+    blocks = [
+        F.sha2(F.concat(seed.cast("string"), F.lit(f":{block}")), 256)
+        for block in range((draws + 63) // 64)
+    ]
+    folded = "".join(_DIGITS[i % 2**bits] for i in range(16))
+    return F.translate(F.substring(F.concat(*blocks), 1, draws), _DIGITS, folded)
+
+
+def mean_of_digits(digits: Column, bits: int = 3, draws: int = 64) -> Column:
+    """Mean of drawn digits, scaled to [0, 1]. Counting how often each of the 2**bits values
+    occurs keeps the sum in generated code."""
     top = 2**bits - 1
-    values = "0123456789abcdef"
-    folded = "".join(values[i & top] for i in range(16))
-    total: Column | None = None
-    for block in range((draws + 63) // 64):
-        length = min(64, draws - 64 * block)
-        digest = F.sha2(F.concat(seed.cast("string"), F.lit(f":{block}")), 256)
-        digits = F.translate(F.substring(digest, 1, length), values, folded)
-        for value in range(1, top + 1):
-            hits = F.length(digits) - F.length(F.replace(digits, F.lit(values[value]), F.lit("")))
-            term = hits * value
-            total = term if total is None else total + term
-    return total / F.lit(float(draws * top))
+    length = F.length(digits)
+    terms = [
+        (length - F.length(F.replace(digits, F.lit(_DIGITS[value]), F.lit("")))) * value
+        for value in range(1, top + 1)
+    ]
+    return functools.reduce(Column.__add__, terms) / F.lit(float(draws * top))
+
+
+def mean_of_draws(seed: Column, bits: int = 3, draws: int = 64) -> Column:
+    return mean_of_digits(draw_digits(seed, bits, draws), bits, draws)

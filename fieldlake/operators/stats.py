@@ -255,8 +255,7 @@ def ks_test(
     effective = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
     p_value = kolmogorov_tail(F.sqrt(effective) * F.col("d"))
     if exact_up_to:
-        small = F.greatest("n1", "n2") <= exact_up_to
-        p_value = F.when(small, exact_ks_p("d", "n1", "n2")).otherwise(p_value)
+        p_value = F.coalesce(exact_ks_p("d", "n1", "n2", exact_up_to), p_value)
     return found.select(
         F.coalesce("d", F.lit(0.0)).alias("d"),
         F.when(F.col("d").isNull(), 0.0).otherwise(p_value).alias("p_value"),
@@ -275,14 +274,19 @@ def kolmogorov_tail(scaled: Column) -> Column:
     return F.when(scaled < 0.2, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)))
 
 
-def exact_ks_p(d: str, n1: str, n2: str) -> Column:
-    """Exact P(D >= d); meant for the single row of test results."""
+def exact_ks_p(d: str, n1: str, n2: str, limit: int) -> Column:
+    """Exact P(D >= d), NULL for a sample above ``limit``; for the single row of test results.
+
+    The limit is applied in here: a Python function is evaluated whatever branch it is in.
+    """
 
     @F.pandas_udf("double")
     def probability(gaps: pd.Series, ms: pd.Series, ns: pd.Series) -> pd.Series:
         return pd.Series(
             [
-                None if pd.isna(gap) else outside_share(float(gap), int(m), int(n))
+                None
+                if pd.isna(gap) or max(m, n) > limit
+                else outside_share(float(gap), int(m), int(n))
                 for gap, m, n in zip(gaps, ms, ns)
             ],
             dtype="float64",

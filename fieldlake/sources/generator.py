@@ -11,7 +11,12 @@ from datetime import datetime, timezone
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.functions.identity import mean_of_draws, normals, round_robin_field
+from fieldlake.functions.identity import (
+    draw_digits,
+    mean_of_digits,
+    normals,
+    round_robin_field,
+)
 from fieldlake.functions.numeric import clamp_and_round
 from fieldlake.functions.temporal import QUARTER_HOUR, floor_window, window_seed
 from fieldlake.schema import RANGES, REQUIRED, SEED
@@ -55,19 +60,24 @@ def with_readings(
     salt = [F.lit(":"), label] if scenario_salt else []
     q_seed = F.concat(window.cast("string"), *salt)
     row_seed = F.concat((F.lit(SEED) + window * 1000 + index).cast("string"), *salt)
-    base = df.select(
+    hashed = df.select(
         timestamp.alias("timestamp"),
         round_robin_field(index, fields).alias("field_id"),
         label.alias("scenario"),
-        mean_of_draws(q_seed, qubits, shots).alias("q_value"),
+        draw_digits(q_seed, qubits, shots).alias("_digits"),
         F.sha2(row_seed, 256).alias("_noise"),
     )
+    noise = [z.alias(f"z_{name}") for name, z in zip(NOISY, normals(F.col("_noise"), len(NOISY)))]
+    drawn = F.struct(mean_of_digits(F.col("_digits"), qubits, shots).alias("q_value"), *noise)
+    # A one-element array, unfolded: a filter on the readings cannot be pushed below it, which
+    # would repeat the draws for every measurement it looks at.
+    base = hashed.select("timestamp", "field_id", "scenario", F.inline_outer(F.array(drawn)))
     q = F.col("q_value")
     measured = {
         "soil_ph": clamp_and_round(F.lit(PH_CENTRE) + (q - 0.5) * PH_SLOPE, *RANGES["soil_ph"])
     }
-    for (name, (mean, slope, sd)), z in zip(NOISY.items(), normals(F.col("_noise"), len(NOISY))):
-        value = F.lit(mean) + q * slope + z * sd
+    for name, (mean, slope, sd) in NOISY.items():
+        value = F.lit(mean) + q * slope + F.col(f"z_{name}") * sd
         # Temperature is left unclamped here; the gate bounds it.
         measured[name] = (
             F.round(value, 3) if name == "temperature" else clamp_and_round(value, *RANGES[name])

@@ -61,6 +61,12 @@ def test_asymptotic_p_approaches_the_exact_one(spark):
     assert exact == pytest.approx(limit, abs=0.02) and exact != limit
 
 
+def test_large_samples_skip_the_exact_p(spark):
+    a = spark.range(200_000).select(F.rand(1).alias("v"))
+    b = spark.range(150_000).select(F.rand(2).alias("v"))
+    assert 0 < stats.ks_test(a, b, "v").first()["p_value"] <= 1
+
+
 def test_ks_of_an_empty_side(spark):
     row = stats.ks_test(numbers(spark, [1.0]), numbers(spark, [float("nan")]), "v").first()
     assert (row["p_value"], row["n1"], row["n2"]) == (0.0, 1, 0)

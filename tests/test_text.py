@@ -101,7 +101,7 @@ def test_insights(corpus):
 
 
 def test_files(spark, tmp_path):
-    (tmp_path / "survey.txt").write_text(TEXTS[0], encoding="utf-8")
+    (tmp_path / "one.txt").write_text(TEXTS[0], encoding="utf-8")
     assert analyse_files(spark, str(tmp_path)).insights.count() == 1
 
 

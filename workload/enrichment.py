@@ -296,7 +296,7 @@ def _field_years(merged: DataFrame) -> DataFrame:
     f"""WITH {SENSORS},
     where_ AS (SELECT event_id, user_id % 7 AS lat, user_id % 3 AS lon, event_type, value,
                       CAST(ts AS DATE) AS "day" FROM events),
-    weather AS (SELECT lat, lon, "day", avg(value / 10) AS w FROM where_
+    weather AS (SELECT lat, lon, "day", avg(value / 11) AS w FROM where_
                 WHERE event_type IN ('view', 'error') GROUP BY 1, 2, 3)
     SELECT e.event_id, round(coalesce(CASE WHEN s.moisture >= 50 THEN s.temperature END, w), 6)
            AS temperature
@@ -318,6 +318,6 @@ def temperature_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when((k >= 3) & (1.2 * k - 5 >= 50), F.col("value") / 4.1 - 22).alias("temperature"),
     )
     weather = events.filter(F.col("event_type").isin("view", "error")).select(
-        *place, F.col("ts").alias("date"), (F.col("value") / 10).alias("temperature")
+        *place, F.col("ts").alias("date"), (F.col("value") / 11).alias("temperature")
     )
     return rounded(enrich.fill_temperature(readings, weather).select("event_id", "temperature"))
