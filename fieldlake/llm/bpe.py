@@ -24,7 +24,7 @@ from fieldlake.llm.registry import query
 SLICE_BYTES = 4 << 20
 WORDS_PER_QUERY = 40_000
 WORDS_KEPT = 600_000
-#: A longer word contracts every pair of its least rank at once, where that is the same.
+#: A longer word contracts many pairs of its least rank in a step.
 LONG_WORD = 256
 
 
@@ -48,29 +48,36 @@ SELECT word, tok FROM state JOIN (SELECT word, max(step) AS step FROM state GROU
 ORDER BY word, pos
 """
 
-#: One step for long words: all pairs of the least rank that do not overlap, or only the
-#: leftmost where the new token could form a pair of lower rank.
+#: One step for a long word: its pairs of the least rank that do not overlap, from the left, up
+#: to the first whose new token forms a pair of a lower rank, which then comes first.
 _LONG_STEP = """
 CREATE OR REPLACE TEMP TABLE next_state AS
 WITH pairs AS (
-    SELECT p.word, p.pos, p.tok, p.spot, m.merged, m.safe
-    FROM (SELECT word, pos, tok, row_number() OVER w AS spot, lead(tok) OVER w AS next_tok
-          FROM state WINDOW w AS (PARTITION BY word ORDER BY pos)) p
+    SELECT p.*, m.merged, min(m.merged) OVER () AS least
+    FROM (SELECT pos, tok, row_number() OVER w AS spot, lag(tok) OVER w AS last_tok, lead(tok) OVER w AS next_tok,
+                 lead(tok, 2) OVER w AS after_tok
+          FROM state WINDOW w AS (ORDER BY pos)) p
     LEFT JOIN merges m ON m.head = p.tok AND m.tail = p.next_tok
-), best AS (
-    SELECT *, min(merged) OVER (PARTITION BY word) AS least FROM pairs
 ), hits AS (
-    SELECT word, pos, spot, merged, safe, spot - row_number() OVER (PARTITION BY word ORDER BY pos) AS run,
-           row_number() OVER (PARTITION BY word ORDER BY pos) AS nth
-    FROM best WHERE merged = least
+    SELECT *, row_number() OVER (PARTITION BY run ORDER BY spot) AS inside
+    FROM (SELECT *, spot - row_number() OVER (ORDER BY spot) AS run FROM pairs WHERE merged = least)
+), picked AS (
+    SELECT spot, merged, after_tok,
+           CASE WHEN lag(spot) OVER (ORDER BY spot) = spot - 2 THEN merged ELSE last_tok END AS before_tok
+    FROM hits WHERE inside % 2 = 1
+), lower AS (
+    SELECT min(spot) AS spot FROM (
+        SELECT p.spot FROM picked p JOIN merges m ON m.head = p.before_tok AND m.tail = p.merged
+        WHERE m.merged < p.merged
+        UNION ALL
+        SELECT p.spot FROM picked p JOIN merges m ON m.head = p.merged AND m.tail = p.after_tok
+        WHERE m.merged < p.merged)
 ), chosen AS (
-    SELECT word, spot, merged FROM (
-        SELECT *, row_number() OVER (PARTITION BY word, run ORDER BY spot) AS inside FROM hits)
-    WHERE CASE WHEN safe THEN inside % 2 = 1 ELSE nth = 1 END
+    SELECT spot, merged FROM picked WHERE spot <= coalesce((SELECT spot FROM lower), 9223372036854775807)
 )
-SELECT b.word, b.pos, coalesce(c.merged, b.tok) AS tok
-FROM best b LEFT JOIN chosen c ON c.word = b.word AND c.spot = b.spot
-WHERE NOT EXISTS (SELECT 1 FROM chosen d WHERE d.word = b.word AND d.spot = b.spot - 1)
+SELECT p.pos, coalesce(c.merged, p.tok) AS tok
+FROM pairs p LEFT JOIN chosen c ON c.spot = p.spot
+WHERE p.spot - 1 NOT IN (SELECT spot FROM chosen)
 """
 
 #: The one thread of a task's database adds up a text's pieces in the order they come in.
@@ -88,11 +95,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
-    """head, tail, merged, safe: every split of every token into two tokens.
-
-    ``safe`` tells that the merged token forms no pair of a lower rank, so contracting all
-    pairs of that rank from the left at once is the same as one by one.
-    """
+    """head, tail, merged: every split of every token into two tokens."""
     rows = [
         (ranks[token[:at]], ranks[token[at:]], rank)
         for token, rank in ranks.items()
@@ -100,8 +103,7 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
         if token[:at] in ranks and token[at:] in ranks
     ]
     head, tail, merged = (np.array(column, np.int64) for column in zip(*rows)) if rows else (np.zeros(0, np.int64),) * 3
-    unsafe = np.union1d(head[merged < head], tail[merged < tail])
-    return pa.table({"head": head, "tail": tail, "merged": merged, "safe": ~np.isin(merged, unsafe)})
+    return pa.table({"head": head, "tail": tail, "merged": merged})
 
 
 class Encoder:
