@@ -8,7 +8,6 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from fieldlake.session import scratch_path, ship_package
 
@@ -104,11 +103,29 @@ def white_words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     return kept, word_offsets, np.diff(first)
 
 
+_ROOT = 0x9E3779B97F4A7C15
+_BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64)
+
+
+def _powers(base: int, count: int) -> np.ndarray:
+    made = np.full(count, base, np.uint64)
+    made[:1] = 1
+    return np.multiply.accumulate(made)
+
+
+def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+    """64-bit hashes of spans of bytes: polynomials modulo 2**64 from one running sum.
+
+    The base is odd, so it has an inverse by which a span's sum is moved to its start.
+    """
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_ROOT, len(data)), out=sums[1:])
+    hashes = (sums[stops] - sums[starts]) * _powers(pow(_ROOT, -1, 1 << 64), len(data) + 1)[starts]
+    hashes ^= (stops - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return hashes ^ (hashes >> np.uint64(29))
+
+
 def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
     return pa.BinaryArray.from_buffers(
         pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]
     )
-
-
-def text_crc(column: str) -> F.Column:
-    return F.crc32(F.col(column).cast("string").cast("binary"))

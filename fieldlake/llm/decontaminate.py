@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import LOWER, binary, documents, prepare, raw, text_slices
+from fieldlake.llm.common import LOWER, binary, documents, prepare, raw, span_hashes, text_slices
 from fieldlake.llm.registry import query
 
 SLICE_BYTES = 6 << 20
@@ -25,8 +25,6 @@ BLOCK_BYTES = 8 << 20
 SAMPLE = 8
 WORD = np.zeros(256, bool)
 WORD[48:58] = WORD[65:91] = WORD[97:123] = WORD[128:] = True
-_ROOT = 0x9E3779B97F4A7C15
-_BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64)
 
 
 def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -40,17 +38,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     last[1:] = ink
     last[1:-1] &= ~ink[1:] | first[1:]
     starts, stops = np.flatnonzero(first), np.flatnonzero(last)
-    # polynomial hashes modulo 2**64 from one running sum; an odd base has an inverse
-    power = np.full(len(data) + 1, _ROOT, np.uint64)
-    power[0] = 1
-    power = np.multiply.accumulate(power)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_BYTE[LOWER[data]] * power[:-1], out=sums[1:])
-    back = np.full(len(data) + 1, pow(_ROOT, -1, 1 << 64), np.uint64)
-    back[0] = 1
-    back = np.multiply.accumulate(back)
-    hashes = (sums[stops] - sums[starts]) * back[starts]
-    hashes ^= (stops - starts).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    hashes = span_hashes(LOWER[data], starts, stops)
     return starts, stops, hashes, np.searchsorted(starts, offsets)
 
 
