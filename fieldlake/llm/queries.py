@@ -1,6 +1,6 @@
 """All queries of this subpackage; importing the operators registers them."""
 
-from fieldlake.llm import bpe, chat, decontaminate, quality, sharding, simhash, url_filter  # noqa: F401
+from fieldlake.llm import bpe, chat, decontaminate, quality, repeats, sharding, simhash, url_filter  # noqa: F401
 from fieldlake.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
