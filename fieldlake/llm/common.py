@@ -107,10 +107,18 @@ _ROOT = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(7).integers(1, 2**63, 256, dtype=np.int64).astype(np.uint64)
 
 
+#: Powers of the base and of its inverse, as many as were needed so far.
+_POWERS = {base: np.ones(1, np.uint64) for base in (_ROOT, pow(_ROOT, -1, 1 << 64))}
+
+
 def _powers(base: int, count: int) -> np.ndarray:
-    made = np.full(count, base, np.uint64)
-    made[:1] = 1
-    return np.multiply.accumulate(made)
+    if len(_POWERS[base]) < count:
+        made = np.full(max(count, 1 << 21), base, np.uint64)
+        made[0] = 1
+        if count > 1 << 21:  # a very long text is not kept in mind
+            return np.multiply.accumulate(made)
+        _POWERS[base] = np.multiply.accumulate(made)
+    return _POWERS[base][:count]
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:

@@ -3,7 +3,7 @@
 Equal strings of ``length`` bytes have equal anchors (their ``GRAM``-byte substring of least
 hash), so text is cut where the anchor changes and the pieces of one anchor meet in one
 bucket. Of the anchors, only those seen in two documents send their pieces. In a bucket the
-distinct pieces are sorted shard by shard into Burrows-Wheeler transforms, and the
+distinct pieces of an anchor that has several are sorted shard by shard into Burrows-Wheeler transforms, and the
 transforms are merged by iterative interleave refinement: each round sorts the interleaving
 by one more symbol through the transforms alone. After ``length`` rounds a block of the
 interleaving is an interval of suffixes with a common prefix of that length; the suffixes
@@ -31,7 +31,7 @@ from fieldlake.llm.common import BLOCK_BYTES, binary, documents, drop, prepare,
 from fieldlake.llm.registry import query
 from fieldlake.session import scratch_path
 
-GRAM = 20
+GRAM = 24
 #: Bytes whose hashes are in memory at once, longest piece, and the sizes aimed at.
 CHUNK = 1 << 20
 PIECE = 48
@@ -66,13 +66,14 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Pieces:
     found: list[tuple[np.ndarray, ...]] = []
     at, total = 0, len(data)
     gram = min(GRAM, length)
+    texts = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     while at + length <= total:
         stop = min(total, at + CHUNK + length - 1)
         place = np.arange(at, stop - gram + 1) - at
         window = data[at:stop]
         anchors = _slide(span_hashes(window, place, place + gram), length - gram + 1)
         start = np.arange(at, at + len(anchors))
-        text = np.searchsorted(offsets, start, "right") - 1
+        text = texts[at : at + len(anchors)]
         inside = start + length <= offsets[text + 1]
         fresh = np.ones(len(start), bool)
         fresh[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
@@ -131,6 +132,18 @@ def _packed(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa
     return pa.table({name: pa.array([row[k] for row in rows], kind) for k, (name, kind) in enumerate(zip(names, kinds))})
 
 
+def _narrow(anchors: np.ndarray) -> np.ndarray:
+    """Five bytes of each anchor, which tell a bucket's anchors apart; a rare clash only makes work."""
+    return np.ascontiguousarray(anchors.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5])
+
+
+def _widen(value: pa.Scalar) -> np.ndarray:
+    narrow = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, 5)
+    wide = np.zeros((len(narrow), 8), np.uint8)
+    wide[:, :5] = narrow
+    return wide.view("<u8").ravel()
+
+
 _ASK = "bucket long, block long, anchors binary, shared binary"
 
 
@@ -139,8 +152,7 @@ def _ask(length: int, buckets: int):
         block = table.column("block")[0].as_py()
         table, data, offsets = _read_block(table)
         bucket, anchors, shared, _ = ask_anchors(cut_pieces(data, offsets, length), buckets)
-        # five bytes tell a bucket's anchors apart; a rare clash only sends a piece in vain
-        narrow = anchors.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]
+        narrow = _narrow(anchors)
         rows = [
             (number, block, narrow[a:b].tobytes(), np.packbits(shared[a:b]).tobytes()) for number, a, b in _groups(bucket)
         ]
@@ -163,12 +175,7 @@ def _answer_rows(kind: int, rows: list[tuple]) -> pa.Table:
 def _answer_anchors(table: pa.Table) -> pa.Table:
     """Which anchors of each block occur in two documents."""
     bucket, blocks = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
-    parts = []
-    for value in table.column("anchors"):
-        narrow = np.frombuffer(value.as_buffer(), np.uint8).reshape(-1, 5)
-        wide = np.zeros((len(narrow), 8), np.uint8)
-        wide[:, :5] = narrow
-        parts.append(wide.view("<u8").ravel())
+    parts = [_widen(value) for value in table.column("anchors")]
     shared = [
         np.unpackbits(np.frombuffer(value.as_buffer(), np.uint8), count=len(part)).astype(bool)
         for value, part in zip(table.column("shared"), parts)
@@ -212,7 +219,7 @@ def _take(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return data[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
-_SEND = "bucket long, block long, strings binary, sizes binary, which binary, doc binary"
+_SEND = "bucket long, block long, strings binary, sizes binary, anchors binary, which binary, doc binary"
 
 
 def _send(length: int, buckets: int, next_buckets: int):
@@ -234,12 +241,13 @@ def _send(length: int, buckets: int, next_buckets: int):
                         block,
                         strings.tobytes(),
                         sizes[a:b][first].astype(np.uint8).tobytes(),
+                        _narrow(pieces.anchor[a:b][first]).tobytes(),
                         which.astype(np.uint32).tobytes(),
                         ids[pieces.text[a:b]].tobytes(),
                     )
                 )
-        names = ["bucket", "block", "strings", "sizes", "which", "doc"]
-        return _packed(rows, names, [pa.int64(), pa.int64(), *[pa.binary()] * 4])
+        names = ["bucket", "block", "strings", "sizes", "anchors", "which", "doc"]
+        return _packed(rows, names, [pa.int64(), pa.int64(), *[pa.binary()] * 5])
 
     return kernel
 
@@ -376,9 +384,18 @@ def _answer_pieces(length: int):
         data, at = raw(coded.dictionary)
         owner = np.full(len(coded.dictionary), _LAST)
         np.minimum.at(owner, same[np.concatenate(which)], np.concatenate(docs))
-        least = least_owner(data, np.diff(at), owner, length)
+        anchors = np.zeros(len(owner), np.uint64)
+        anchors[same] = np.concatenate([_widen(value) for value in table.column("anchors")])
         starts = np.diff(at) - length + 1
         first = np.concatenate([[0], np.cumsum(starts)])
+        # a string that is the only one of its anchor shares its starts with no other
+        _, group, members = np.unique(anchors, return_inverse=True, return_counts=True)
+        merged = members[group] > 1
+        least = np.repeat(owner, starts)
+        if merged.any():
+            sizes_of = np.diff(at)[merged]
+            strings_of = data[np.repeat(merged, np.diff(at))]
+            least[np.repeat(merged, starts)] = least_owner(strings_of, sizes_of, owner[merged], length)
         rows = []
         for block, part, doc in zip(blocks, which, docs):
             string = same[part]
@@ -404,7 +421,7 @@ def covered_bytes(size: int, pieces: Pieces, earlier: np.ndarray, length: int) -
     return np.cumsum(step[:-1]) > 0
 
 
-def _remove(length: int, buckets: int, next_buckets: int):
+def _remove(length: int, buckets: int, next_buckets: int, keep: tuple[str, ...]):
     def kernel(table: pa.Table, answers: pa.Table) -> pa.Table:
         table, data, offsets = _read_block(table)
         pieces, bucket = repeated_pieces(data, offsets, length, answers, buckets, next_buckets)
@@ -436,12 +453,17 @@ def _remove(length: int, buckets: int, next_buckets: int):
                 "n_bytes": np.diff(offsets),
                 "kept": kept,
                 "spans": pa.ListArray.from_arrays(pa.array(spans.astype(np.int32)), made),
+                **{name: table.column(_kept(name)) for name in keep},
             }
         )
 
     return kernel
 
 
+def _kept(name: str) -> str:
+    return f"kept_{name}"
+
+
 def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number the rows by blocks of about ``BLOCK_BYTES`` of text."""
     block, size = TaskContext.get().partitionId() << 32, 0
@@ -451,25 +473,29 @@ def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             block, size = block + 1, 0
         size += length
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(batch.num_rows, block)), batch.column("doc_id"), batch.column("text")], ["block", "doc_id", "text"]
+            [pa.array(np.full(batch.num_rows, block)), *batch.columns], ["block", *batch.schema.names]
         )
 
 
-def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = 50, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_bytes, kept (binary), spans of every row of ``docs`` (doc_id long, text).
 
     A byte goes where a string of ``length`` bytes over it also starts in a document with a
     smaller doc_id; strings are those of the input. ``spans`` are the maximal removed runs
     (start, stop) in bytes. A null text counts as empty; null ids are after all others and
-    alike; rows of one id do not remove each other's bytes. An empty table gives no row, and
-    other columns are not read. The result is stored in the shared folder.
+    alike; rows of one id do not remove each other's bytes. An empty table gives no row. Of
+    the other columns those in ``keep`` come last. The result is stored in the shared folder.
     """
     spark = prepare(docs.sparkSession)
+    kinds = {name: dict(docs.dtypes)[name] for name in keep}
     name, place = f"blocks_{uuid.uuid4().hex}", scratch_path(spark, "blocks")
     cells = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
     (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .mapInArrow(_in_blocks, "block long, doc_id long, text string")
+        docs.select(F.col("doc_id").cast("long"), "text", *[F.col(name).alias(_kept(name)) for name in keep])
+        .mapInArrow(
+            _in_blocks,
+            "block long, doc_id long, text string" + "".join(f", `{_kept(name)}` {kind}" for name, kind in kinds.items()),
+        )
         .write.bucketBy(cells, "block")
         .option("path", place)
         .option("compression", "zstd")
@@ -479,7 +505,8 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     size = blocks.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     density = 2 / (length - min(GRAM, length) + 2)
     buckets = max(16, -(-int(size * density) // ANCHORS_PER_BUCKET))
-    by_block, by_bucket = blocks.groupBy("block"), "bucket"
+    by_bucket = "bucket"
+    by_block = blocks.select("block", "doc_id", "text").groupBy("block")
     asked = by_block.applyInArrow(_ask(length, buckets), _ASK)
     answers, first = stored(asked.groupBy(by_bucket).applyInArrow(_answer_anchors, _ANSWER), "anchor-answers")
     marked = answers.agg(F.sum("marked")).first()[0] or 0
@@ -488,9 +515,10 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     pieces, second = stored(sent.groupBy(by_bucket).applyInArrow(_answer_pieces(length), _ANSWER), "piece-answers")
     told = answers.union(pieces).groupBy("block")
     result, _ = stored(
-        by_block.cogroup(told).applyInArrow(
-            _remove(length, buckets, next_buckets),
-            "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, stop: long>>",
+        blocks.groupBy("block").cogroup(told).applyInArrow(
+            _remove(length, buckets, next_buckets, keep),
+            "doc_id long, n_bytes long, kept binary, spans array<struct<start: long, stop: long>>"
+            + "".join(f", `{name}` {kind}" for name, kind in kinds.items()),
         ),
         "without-repeats",
     )
@@ -499,6 +527,19 @@ def remove_repeats(docs: DataFrame, length: int = 50) -> DataFrame:
     return result
 
 
+def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = [value.decode("utf-8", "ignore") for value in batch.column("kept").to_pylist()]
+        names = [name for name in batch.schema.names if name != "kept"]
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *map(batch.column, names)], ["text", *names])
+
+
+def whole_characters(found: DataFrame) -> DataFrame:
+    """``found`` with ``kept`` as ``text``, without bytes that are no whole character."""
+    fields = "".join(f", `{name}` {kind}" for name, kind in found.dtypes if name != "kept")
+    return found.mapInArrow(_characters, f"text string{fields}")
+
+
 @query()
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of 50-byte strings of earlier documents."""
