@@ -1,7 +1,8 @@
 """A corpus pipeline: quality filter, near-duplicates, repeats, benchmark passages, tokens.
 
 Each stage is a function of (spark, docs, sf_dir) and returns a DataFrame; its result is
-written as Parquet and read again as the next stage's ``docs``.
+written as Parquet and read again as the next stage's ``docs``. All but the last return the
+columns of ``documents``; ``n_chars`` follows the text where a stage changes it.
 """
 
 from __future__ import annotations
@@ -9,19 +10,82 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from fieldlake.llm.common import documents, stored
+from fieldlake.llm.bpe import decode, encode, public_tokenizer
+from fieldlake.llm.common import documents, drop, stored
+from fieldlake.llm.decontaminate import contamination, without_spans
+from fieldlake.llm.quality import score_quality
+from fieldlake.llm.repeats import remove_repeats, whole_characters
+from fieldlake.llm.simhash import near_duplicates
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+BESIDE = ("lang", "source", "n_chars")
 
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars`` of the text where that changed: null where the text is null."""
+    return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from all labels, does not reject."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
+    scored = score_quality(docs.select("doc_id", "text"), labels, F.lit(False))
+    rejected = scored.filter("score < 0.5").select("doc_id").distinct()
+    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one whose id is the group's least."""
+    groups = near_duplicates(docs.select("doc_id", "text"), 3, 2)
+    dropped = groups.filter("doc_id != component_id").select("doc_id").distinct()
+    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+
+
+def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the bytes of 50-byte strings that start in an earlier document.
+
+    A cut can fall inside a character; what is left of it goes too, so texts stay UTF-8.
+    """
+    return _counted(whole_characters(remove_repeats(docs, 50, BESIDE)))
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the merged spans of benchmark windows of 10 words."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    found = contamination(docs, benchmark, 10, BESIDE)
+    return _counted(without_spans(found))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids, and whether the ids decode to the text (null as empty)."""
+    ranks, pattern = public_tokenizer()
+    decoded = decode(encode(docs, ranks, pattern, ("text",)), ranks)
+    same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_copies", near_copies),
+    ("repeats", repeats),
+    ("benchmark_passages", benchmark_passages),
+    ("tokens", tokens),
+]
+
+#: Not expressible: trained scores, fingerprints and token ids are no SQL.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over ``documents``, each stored in the shared folder."""
-    docs = documents(spark, sf_dir)
+    """The stages over ``documents``; each but the first reads what the one before has stored."""
+    docs, before = documents(spark, sf_dir), None
     for name, stage in STAGES:
-        docs, _ = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs, path = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        if before:
+            drop(spark, before)
+        before = path
     return docs

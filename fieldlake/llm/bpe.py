@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,7 @@ from fieldlake.llm.registry import query
 #: Text per step of a task, words per recursive query, and words kept with their ids.
 SLICE_BYTES = 4 << 20
 WORDS_PER_QUERY = 40_000
-WORDS_KEPT = 600_000
+WORDS_KEPT = 400_000
 #: A longer word contracts many pairs of its least rank in a step.
 LONG_WORD = 256
 
@@ -113,7 +114,7 @@ class Encoder:
         self.words = regex.compile(pattern).findall
         self.ranks = ranks
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         self.db.register("given", merge_table(ranks))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.forget()
@@ -190,8 +191,8 @@ class Encoder:
         return self.ids[places], np.diff(total[np.array(ends)])
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
-    """doc_id, text, ids (array<int>) of every row of ``docs`` (doc_id, text).
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, ids (array<int>) of every row of ``docs`` (doc_id, text), and the columns in ``keep``.
 
     Each match of ``pattern`` is encoded by itself; special tokens are ordinary text. A null
     text counts as empty and has no ids. Repeated rows are kept, an empty table gives no row,
@@ -209,14 +210,19 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str) -> DataFrame:
             ids, counts = encoder.encode_texts([text or "" for text in texts.to_pylist()])
             offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
             lists = pa.ListArray.from_arrays(offsets, pa.array(ids.astype(np.int32)))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), texts, lists], ["doc_id", "text", "ids"])
+            beside = [name for name in keep if name != "text"]
+            columns = [batch.column("doc_id"), lists, *[texts] * ("text" in keep), *map(batch.column, beside)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "ids", *["text"] * ("text" in keep), *beside])
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return docs.select("doc_id", "text").mapInArrow(kernel, f"doc_id {kind}, text string, ids array<int>")
+    kinds = dict(docs.dtypes)
+    beside = [name for name in keep if name != "text"]
+    fields = [("doc_id", kinds["doc_id"]), ("ids", "array<int>"), *[("text", "string")] * ("text" in keep)]
+    schema = ", ".join(f"`{name}` {kind}" for name, kind in [*fields, *[(name, kinds[name]) for name in beside]])
+    return docs.select("doc_id", "text", *beside).mapInArrow(kernel, schema)
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
-    """The columns of ``encoded`` without ``text``, and ``decoded`` (binary): the ids' bytes.
+    """The columns of ``encoded``, and ``decoded`` (binary): the bytes of ``ids``.
 
     A null list counts as empty; an id without a token is an error.
     """
@@ -227,20 +233,21 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         db = None
         for batch in batches:
             if db is None:
-                db = duckdb.connect(config={"threads": 1, "memory_limit": "500MB", "temp_directory": ""})
+                db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
                 ranks = shipped.value
                 # one character per byte, so that any bytes can be text
                 names = pa.array([token.decode("latin-1") for token in ranks])
                 db.register("given", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "text": names}))
                 db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
+                known = pa.array(list(ranks.values()), pa.int32())
             at = 0
             lengths = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             while at < batch.num_rows:
                 stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), 1_000_000, "right")))
-                yield decode_rows(db, batch.slice(at, stop - at), lengths[at:stop])
+                yield decode_rows(db, known, batch.slice(at, stop - at), lengths[at:stop])
                 at = stop
 
-    def decode_rows(db, batch: pa.RecordBatch, lengths: np.ndarray) -> pa.RecordBatch:
+    def decode_rows(db, known: pa.Array, batch: pa.RecordBatch, lengths: np.ndarray) -> pa.RecordBatch:
         part = np.repeat(np.arange(len(lengths)), lengths)
         values = batch.column("ids").flatten()
         db.register("ids", pa.table({"part": part, "pos": np.arange(len(part)), "id": values}))
@@ -249,13 +256,13 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         texts = [b""] * len(lengths)
         for place, text in zip(result["part"].to_pylist(), result["text"].to_pylist()):
             texts[place] = text.encode("latin-1")
-        if sum(map(len, texts)) == 0 and len(part):
+        if not pc.all(pc.is_in(values, value_set=known)).as_py() and len(part):
             raise ValueError("ids without a token")
-        keep = [name for name in batch.schema.names if name != "text"]
-        return pa.RecordBatch.from_arrays([batch.column(n) for n in keep] + [pa.array(texts, pa.binary())], [*keep, "decoded"])
+        made = pa.array(texts, pa.binary())
+        return pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "decoded"])
 
-    fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes if name != "text")
-    return encoded.drop("text").mapInArrow(kernel, f"{fields}, decoded binary")
+    fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
+    return encoded.mapInArrow(kernel, f"{fields}, decoded binary")
 
 
 def public_tokenizer(name: str = "byte_bpe_50k.tiktoken") -> tuple[dict[bytes, int], str]:

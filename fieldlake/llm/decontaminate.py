@@ -232,7 +232,7 @@ def merged_runs(covered: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
     return opened, np.flatnonzero(closes), np.diff(np.searchsorted(opened, first))
 
 
-def _search_kernel(shipped):
+def _search_kernel(shipped, keep: tuple[str, ...]):
     """Adds a block's items, and its hits to the spans found by the blocks before it."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,14 +269,15 @@ def _search_kernel(shipped):
                     pa.array(totals[first[1:]] - totals[first[:-1]]),
                     pa.array([sorted(name for name in row if name is not None) for row in names], pa.list_(pa.string())),
                     pa.ListArray.from_arrays(ends, made),
+                    *[batch.column(name) for name in keep],
                 ],
-                ["doc_id", "text", "n_words", "n_hit", "items", "spans"],
+                ["doc_id", "text", "n_words", "n_hit", "items", "spans", *keep],
             )
 
     return kernel
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, text, n_words, n_hit, items, spans of every row of ``docs`` (doc_id, text).
 
     Words are runs of ASCII letters and digits and of all characters beyond ASCII, with A-Z
@@ -285,7 +286,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     occurs; ``spans`` are the merged removal spans (start, stop) in bytes of the UTF-8 text,
     from the first to the last word of a run of hit words. Null texts have no words; an item
     with a null id marks words but is not listed; repeated items are one. An empty table on
-    either side gives no row or no hit. Other columns are not read.
+    either side gives no row or no hit. Of the other columns those in ``keep`` come last.
 
     Documents are not shuffled. The benchmark is measured, and sent to the tasks in blocks of
     about ``BLOCK_BYTES``, one pass of the scan's rows per block.
@@ -297,12 +298,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
     schema = (
         f"doc_id {kind}, text string, n_words long, n_hit long, items array<string>, "
         "spans array<struct<start: long, stop: long>>"
-    )
+    ) + "".join(f", `{name}` {dict(docs.dtypes)[name]}" for name in keep)
     result = docs.select(
         "doc_id",
         "text",
         F.array().cast("array<string>").alias("items"),
         F.array().cast("array<struct<start: long, stop: long>>").alias("spans"),
+        *keep,
     )
     for block in range(blocks):
         part = benchmark.select("item_id", "text").filter(
@@ -310,10 +312,30 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> Data
         )
         known = windows_of([(row.item_id, row.text) for row in part.collect()], size)
         shipped = spark.sparkContext.broadcast(known)
-        result = result.select("doc_id", "text", "items", "spans").mapInArrow(_search_kernel(shipped), schema)
+        result = result.select("doc_id", "text", "items", "spans", *keep).mapInArrow(
+            _search_kernel(shipped, keep), schema
+        )
     return result
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch.column("text").cast(pa.binary()).to_pylist()
+        for row, spans in enumerate(batch.column("spans").to_pylist()):
+            if spans:
+                at = [0, *[end for span in spans for end in (span["start"], span["stop"])], len(texts[row])]
+                texts[row] = b"".join(texts[row][a:b] for a, b in zip(at[::2], at[1::2]))
+        names = [name for name in batch.schema.names if name not in ("text", "spans")]
+        made = pa.array(texts, pa.binary()).cast(pa.string())
+        yield pa.RecordBatch.from_arrays([made, *map(batch.column, names)], ["text", *names])
+
+
+def without_spans(found: DataFrame) -> DataFrame:
+    """``found`` (text, spans and other columns) with the spans cut out of the text, without ``spans``."""
+    fields = "".join(f", `{name}` {kind}" for name, kind in found.dtypes if name not in ("text", "spans"))
+    return found.mapInArrow(_cut, f"text string{fields}")
+
+
 @query()
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents against all windows of 10 words of the benchmark."""

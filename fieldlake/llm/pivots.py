@@ -97,7 +97,7 @@ def _verify(threshold: float):
         marks = np.zeros((len(nodes), local.max(initial=0) + 1), np.float32)
         np.put_along_axis(marks, local, 1, axis=1)
         if len(left) and len(right):
-            met = marks[left] @ marks[right].T >= SHARED
+            met = marks[left] @ marks[right].T >= min(SHARED, order.shape[1])
             met &= values[left] @ values[right].T >= threshold
             if same:
                 met &= np.arange(len(left))[:, None] < np.arange(len(right))[None, :]
