@@ -190,29 +190,34 @@ def _links_of(classes: DataFrame, threshold: float) -> DataFrame:
     return pairs.groupBy("pivot", "a", "b").applyInArrow(_verify(threshold), "node long, links long, other long")
 
 
+def _true_links(vectors: DataFrame, asked: np.ndarray, threshold: float) -> int:
+    """Links of the asked vectors, which are among ``vectors``, by brute force."""
+    shipped = vectors.sparkSession.sparkContext.broadcast(asked)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                near = _matrix(batch.column("embedding")) @ shipped.value.T >= threshold
+                yield pa.RecordBatch.from_arrays([pa.array([int(near.sum())])], ["links"])
+
+    return (vectors.mapInArrow(kernel, "links long").agg(F.sum("links")).first()[0] or 0) - len(asked)
+
+
 def recall(vectors: DataFrame, found: DataFrame, threshold: float = 0.9, every: int = 50) -> float:
     """Share of the links of the vectors with an id divisible by ``every`` that ``found`` counts.
 
     Brute force: the query vectors, in blocks, against all vectors.
     """
-    spark = prepare(vectors.sparkSession)
+    prepare(vectors.sparkSession)
     good = vectors.select("vec_id", "embedding").filter(usable(F.col("embedding")))
     queries = good.filter(F.pmod("vec_id", F.lit(every)) == 0)
-    blocks = max(1, queries.count() // 2048)
     true = 0
-    for block in range(blocks):
-        held = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow()
-        if not held.num_rows:
-            continue
-        shipped = spark.sparkContext.broadcast(_matrix(held.column("embedding")))
-
-        def kernel(batches: Iterator[pa.RecordBatch], shipped=shipped) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
-                    near = _matrix(batch.column("embedding")) @ shipped.value.T >= threshold
-                    yield pa.RecordBatch.from_arrays([pa.array([int(near.sum())])], ["links"])
-
-        true += (good.mapInArrow(kernel, "links long").agg(F.sum("links")).first()[0] or 0) - held.num_rows
+    for width, count in queries.groupBy(F.size("embedding")).count().collect():
+        alike, blocks = F.size("embedding") == width, 1 + count // 2048
+        for block in range(blocks):
+            asked = queries.filter(alike).filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == block).toArrow()
+            if asked.num_rows:
+                true += _true_links(good.filter(alike), _matrix(asked.column("embedding")), threshold)
     counted = found.join(queries.select("vec_id"), "vec_id", "semi").agg(F.sum("n_links")).first()[0] or 0
     return counted / true if true else 1.0
 
