@@ -22,27 +22,52 @@ def floor_window(ts: Column, seconds: int = QUARTER_HOUR) -> Column:
     return F.timestamp_seconds(window_seed(ts, seconds) * seconds)
 
 
+def _fraction(ts: Column) -> Column:
+    """``.123456`` where a time has a fraction of a second, else nothing."""
+    micros = F.date_format(ts, "SSSSSS")
+    return F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros))
+
+
 def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")
+    return F.concat(
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), _fraction(ts), F.date_format(ts, "XXX")
+    )
 
 
 def second_text(ts: Column) -> Column:
-    """``2024-01-31 10:20:30``; a missing time reads ``NaT``."""
-    return F.coalesce(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("NaT"))
+    """``2024-01-31 10:20:30``, with the fraction if there is one; a missing time reads ``NaT``."""
+    return F.coalesce(F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), _fraction(ts)), F.lit("NaT"))
+
+
+#: Written dates that Spark's own parser does not take, in the order in which they are tried.
+#: With slashes the month comes first, unless the year does.
+DATE_PATTERNS = (
+    "yyyy/M/d[ H:m[:s]]",
+    "M/d/yyyy[ H:m[:s]]",
+    "d.M.yyyy[ H:m[:s]]",
+    "d MMM yyyy[ H:m[:s]]",
+    "d MMMM yyyy[ H:m[:s]]",
+    "d-MMM-yyyy[ H:m[:s]]",
+    "MMM d, yyyy[ H:m[:s]]",
+    "MMMM d, yyyy[ H:m[:s]]",
+)
 
 
 def parse_timestamp(column: Column) -> Column:
     """Timestamp of loosely formatted text.
 
-    A bare four-digit number (``1998`` or ``1998.0``) is a year and means its first day.
-    Anything else goes through Spark's own parser; what it rejects becomes NULL, and so do
-    numbers of five and more digits, which it would take for far-off years.
+    A bare four-digit number (``1998`` or ``1998.0``) is a year and means its first day; eight
+    digits are ``yyyyMMdd``. Anything else goes through Spark's own parser, then through
+    ``DATE_PATTERNS``; the first that takes it counts. What all reject becomes NULL, and so do
+    other numbers of five and more digits, which would be taken for far-off years.
     """
     text = F.trim(column.cast("string"))
     year = F.regexp_extract(text, r"^([0-9]{4})(?:\.0*)?$", 1)
     first_day = F.make_date(year.try_cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
+    compact = F.when(text.rlike("^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
     written = F.regexp_replace(text, r"^[+-]?[0-9]{5,}.*", "")
-    return F.coalesce(first_day, written.try_cast("timestamp"))
+    patterns = [F.try_to_timestamp(written, F.lit(pattern)) for pattern in DATE_PATTERNS]
+    return F.coalesce(first_day, compact, written.try_cast("timestamp"), *patterns)
 
 
 def start_of_year(ts: Column) -> Column:

@@ -37,12 +37,20 @@ def drop_incomplete(
     """Drop rows with a NULL or NaN in a critical column, or fail on the first sign of one."""
     if drop_invalid:
         return df.dropna(subset=critical)
-    complete = functools.reduce(Column.__and__, present(df, critical).values())
-    if df.filter(~complete).limit(1).count():
+    if df.filter(~_complete(df, critical)).limit(1).count():
         raise ValueError("Nulls found in critical columns")
     return df
 
 
+def _complete(df: DataFrame, critical: list[str]) -> Column:
+    return functools.reduce(Column.__and__, present(df, critical).values())
+
+
+def keep_incomplete(df: DataFrame, critical: list[str] = CRITICAL) -> DataFrame:
+    """The rows that ``drop_incomplete`` drops."""
+    return df.filter(~_complete(df, critical))
+
+
 def clamp_ranges(df: DataFrame, ranges: dict[str, tuple[float, float]] = RANGES) -> DataFrame:
     """Clamp every known column that is present; see ``clamp`` for NULL and NaN."""
     present = {c: clamp(F.col(c), lo, hi) for c, (lo, hi) in ranges.items() if c in df.columns}
@@ -55,14 +63,18 @@ def keep_in_range(
     drop_invalid: bool = True,
 ) -> DataFrame:
     """Keep rows whose measurements lie in their ranges, or fail if any does not."""
-    inside = F.lit(True)
-    for name, (low, high) in ranges.items():
-        if name in df.columns:
-            inside = inside & F.coalesce(in_range(F.col(name), low, high), F.lit(False))
+    inside = {
+        name: F.coalesce(in_range(F.col(name), low, high), F.lit(False))
+        for name, (low, high) in ranges.items()
+        if name in df.columns
+    }
     if drop_invalid:
-        return df.filter(inside)
-    if df.filter(~inside).limit(1).count():
-        raise ValueError("Out-of-bounds values detected")
+        return df.filter(functools.reduce(Column.__and__, inside.values(), F.lit(True)))
+    if inside:
+        found = df.agg(*[F.bool_or(~good).alias(name) for name, good in inside.items()]).first()
+        bad = [name for name in inside if found[name]]
+        if bad:
+            raise ValueError(f"Out-of-bounds values detected in {', '.join(bad)}")
     return df
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import logging
 import math
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
@@ -18,11 +18,11 @@ from pyspark.sql import functions as F
 from fieldlake.functions.numeric import dot
 from fieldlake.operators.embeddings import DIMENSION, embed_text
 from fieldlake.operators.rows import top_n, top_per_group
+from fieldlake.session import materialise
 
 log = logging.getLogger(__name__)
 
-MAX_QUERIES = 2048
-GROUP_ROWS = 50_000
+QUERY_BLOCK = 1024
 SCORES_AT_ONCE = 4_000_000
 
 
@@ -36,10 +36,10 @@ def similar(
     """All columns of the ``k`` items with the largest dot product, and their ``score``.
 
     ``query`` is one row with the query vector. It reaches the scan as a constant, every task
-    keeps its best ``k``. Ties go to the smaller id.
+    keeps its best ``k``. Scores that agree in 12 decimals tie, and the smaller id comes first.
     """
     scored = _with_score(items, vector, query, vector)
-    return top_n(scored, [F.desc("score"), F.asc(item_id)], k)
+    return top_n(scored, [F.desc(F.round("score", 12)), F.asc(item_id)], k)
 
 
 def _with_score(items: DataFrame, vector: str, query: DataFrame, query_vector: str) -> DataFrame:
@@ -104,38 +104,47 @@ def similar_batch(
     item_id: str = "id",
     query_id: str = "query_id",
     vector: str = "embedding",
-    max_queries: int = MAX_QUERIES,
+    block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``query_id, item_id, score, rank``: the ``k`` most similar items for every query.
 
-    Up to ``max_queries`` query vectors are shipped to the tasks, which multiply whole Arrow
-    batches and keep ``k`` items per query, so the shuffle carries queries x tasks x k rows.
-    More queries are cut into blocks that meet blocks of items in grouped tasks of bounded size.
+    Queries are taken in blocks of about ``block``, whose vectors are shipped to the tasks; those
+    multiply whole Arrow batches and keep ``k`` items per query, so items are never shuffled. Each
+    block's matches are stored before the next is read. Items and queries without a vector are
+    left out.
     """
     named = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"))
+    named = named.filter(F.col("vector").isNotNull())
     things = items.select(F.col(item_id).alias("item_id"), F.col(vector).alias("vector"))
     things = things.filter(F.col("vector").isNotNull())
     schema = (
         f"query_id {named.schema['query_id'].dataType.simpleString()}, "
         f"item_id {things.schema['item_id'].dataType.simpleString()}, score double"
     )
-    first = named.limit(max_queries + 1).toArrow()
-    if first.num_rows <= max_queries:
-        partial = _per_task(things, first, k, schema)
-    else:
-        partial = _per_block_pair(things, named, k, schema, max_queries)
-    return top_per_group(partial, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
+    blocks = max(1, math.ceil(named.count() / block))
+    place = F.pmod(F.xxhash64("query_id", "vector"), F.lit(blocks))
+    found = []
+    for number in range(blocks):
+        partial = _per_task(things, named.filter(place == number).toArrow(), k, schema)
+        best = top_per_group(partial, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
+        found.append(best if blocks == 1 else materialise(best, "matches"))
+    return functools.reduce(DataFrame.union, found)
 
 
 def _matrix(vectors: pa.Array, rows: int) -> np.ndarray:
     return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
 
 
+def _one_array(column: pa.ChunkedArray) -> pa.Array:
+    made = column.combine_chunks()
+    return pa.concat_arrays(made.chunks) if isinstance(made, pa.ChunkedArray) else made
+
+
 def _per_task(items: DataFrame, queries: pa.Table, k: int, schema: str) -> DataFrame:
     if not queries.num_rows:
         return items.sparkSession.createDataFrame([], schema)
-    query_ids = queries.column("query_id").combine_chunks()
-    matrix = _matrix(queries.column("vector").combine_chunks(), queries.num_rows)
+    query_ids = _one_array(queries.column("query_id"))
+    matrix = _matrix(_one_array(queries.column("vector")), queries.num_rows)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = None
@@ -158,46 +167,6 @@ def _per_task(items: DataFrame, queries: pa.Table, k: int, schema: str) -> DataF
     return items.mapInArrow(scan, schema)
 
 
-def _per_block_pair(
-    items: DataFrame, queries: DataFrame, k: int, schema: str, block_rows: int
-) -> DataFrame:
-    """Block nested loop: item groups and query blocks are spread over their pairs by hash, and
-    each pair is one task of at most about GROUP_ROWS items and ``block_rows`` queries."""
-    blocks = math.ceil(queries.count() / block_rows * 1.5)
-    groups = max(1, math.ceil(items.count() / GROUP_ROWS))
-    spread_items = items.select(
-        "item_id",
-        "vector",
-        F.pmod(F.xxhash64("item_id"), F.lit(groups)).alias("g"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"),
-    )
-    spread_queries = queries.select(
-        "query_id",
-        "vector",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(groups - 1).cast("bigint"))).alias("g"),
-        F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("b"),
-    )
-
-    def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        names = ["query_id", "item_id", "score"]
-        if left.empty or right.empty:
-            return pd.DataFrame({name: [] for name in names})
-        query_ids = right["query_id"].to_numpy()
-        query, ids, scores = _rank_block(
-            np.stack(right["vector"].to_numpy()).astype(np.float64),
-            _sortable(left["item_id"].to_numpy()),
-            np.stack(left["vector"].to_numpy()).astype(np.float64),
-            k,
-        )
-        return pd.DataFrame(dict(zip(names, (query_ids[query], ids, scores))))
-
-    return (
-        spread_items.groupBy("g", "b")
-        .cogroup(spread_queries.groupBy("g", "b"))
-        .applyInPandas(meet, schema)
-    )
-
-
 def build_index(
     items: DataFrame,
     path: str,

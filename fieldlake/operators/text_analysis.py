@@ -20,10 +20,9 @@ from fieldlake.functions.text import (
     present_keywords,
     word_count,
 )
-from fieldlake.session import broadcast_if_small, fits, materialise
+from fieldlake.session import broadcast_if_small, materialise
 
 CATALOGUE_BOUND = 10_000
-TOKEN_BOUND = 500
 
 
 @dataclass(frozen=True)
@@ -179,54 +178,24 @@ def match_applications(
     analysed: DataFrame,
     catalogue: DataFrame,
     min_token_length: int = 1,
-    key: str = "doc_id",
-    token_bound: int = TOKEN_BOUND,
 ) -> DataFrame:
     """Add ``applications`` and ``domains``: catalogue entries any of whose description words is
     a substring of any concept, and the union of their domains.
 
-    Stop words in a description match broadly; ``min_token_length`` narrows that. A catalogue
-    with at most ``token_bound`` words is matched row by row without a join, a larger one by an
-    equi-join on substrings of the distinct concepts.
+    Stop words in a description match broadly; ``min_token_length`` narrows that. Every row has its
+    own match, whatever its id, and entries of one name all count.
+
+    The substring match is an equi-join: a token is in a concept if it equals one of the concept's
+    substrings of its length. Distinct concepts are cut up, not every mention, and each gets its
+    entries as one list. The rows are stored first, because they are used twice and came from
+    whole texts.
     """
+    rows = materialise(analysed.withColumn("_row", F.monotonically_increasing_id()), "analysed")
     entries = _kept_tokens(catalogue, min_token_length)
-    if not fits(entries.select(F.explode("tokens")), token_bound):
-        return _match_by_join(analysed, entries, key)
-    packed = entries.agg(
-        F.array_sort(F.collect_list(F.struct("name", "domains", "tokens"))).alias("entries")
-    ).scalar()
-
-    def hits(concept: Column) -> Column:
-        lowered = F.lower(concept)
-        return F.filter(
-            F.col("_entries"), lambda e: F.exists(e["tokens"], lambda t: F.contains(lowered, t))
-        )
-
-    # The concepts drive the outermost loop: an expression inside a lambda is evaluated anew
-    # for every element.
-    matched = F.array_distinct(F.flatten(F.transform("concepts", hits)))
-    return (
-        analysed.withColumn("_entries", packed)
-        .withColumn("_matched", matched)
-        .withColumns(
-            {
-                "applications": F.array_sort(F.array_distinct(F.col("_matched.name"))),
-                "domains": F.array_sort(F.array_distinct(F.flatten("_matched.domains"))),
-            }
-        )
-        .drop("_entries", "_matched")
-    )
-
-
-def _match_by_join(analysed: DataFrame, entries: DataFrame, key: str) -> DataFrame:
-    """Substring match as an equi-join: a token is in a concept if it equals one of the concept's
-    substrings of its length. Distinct concepts are cut up, not every mention. The analysed rows
-    are stored first, because they are used three times and came from whole texts."""
-    analysed = materialise(analysed, "analysed")
-    tokens = entries.select("name", F.explode("tokens").alias("token")).distinct()
+    tokens = entries.select(F.struct("name", "domains").alias("entry"), F.explode("tokens").alias("token")).distinct()
     lengths = tokens.agg(F.collect_set(F.length("token")).alias("lengths")).scalar()
-    mentions = analysed.select(key, F.explode("concepts").alias("concept"))
-    mentions = mentions.select(key, F.lower("concept").alias("concept")).distinct()
+    mentions = rows.select("_row", F.explode("concepts").alias("concept"))
+    mentions = mentions.select("_row", F.lower("concept").alias("concept"))
     pieces = (
         mentions.select("concept")
         .distinct()
@@ -236,26 +205,24 @@ def _match_by_join(analysed: DataFrame, entries: DataFrame, key: str) -> DataFra
             "_start", F.explode(F.sequence(F.lit(1), F.length("concept") - F.col("_length") + 1))
         )
         .select("concept", F.substring("concept", F.col("_start"), F.col("_length")).alias("token"))
-        .distinct()
     )
-    named = pieces.join(tokens, "token").select("concept", "name").distinct()
+    named = pieces.join(tokens, "token").groupBy("concept").agg(F.collect_set("entry").alias("entries"))
     matched = (
         mentions.join(named, "concept")
-        .select(key, "name")
-        .distinct()
-        .join(entries.select("name", "domains"), "name")
-        .groupBy(key)
-        .agg(
-            F.array_sort(F.collect_set("name")).alias("applications"),
-            F.array_sort(F.array_distinct(F.flatten(F.collect_list("domains")))).alias("domains"),
-        )
+        .groupBy("_row")
+        .agg(F.array_distinct(F.flatten(F.collect_list("entries"))).alias("_entries"))
     )
     empty = F.array().cast("array<string>")
-    return analysed.join(matched, key, "left").withColumns(
-        {
-            "applications": F.coalesce("applications", empty),
-            "domains": F.coalesce("domains", empty),
-        }
+    names, domains = F.col("_entries.name"), F.flatten("_entries.domains")
+    return (
+        rows.join(matched, "_row", "left")
+        .withColumns(
+            {
+                "applications": F.coalesce(F.array_sort(F.array_distinct(names)), empty),
+                "domains": F.coalesce(F.array_sort(F.array_distinct(domains)), empty),
+            }
+        )
+        .drop("_row", "_entries")
     )
 
 
@@ -269,7 +236,7 @@ def analyse(
 ) -> DataFrame:
     """Concepts, scores, applications and domains of every document; the text is left behind."""
     scored = score_texts(extract_concepts(documents, lexicon, text), lexicon, text).drop(text)
-    matched = match_applications(scored, catalogue, min_token_length, key)
+    matched = match_applications(scored, catalogue, min_token_length)
     return matched.select(
         key,
         "concepts",

@@ -94,5 +94,8 @@ def integrate_local(raw_soils: DataFrame, grid: DataFrame) -> DataFrame:
     """
     soils = with_year(map_local_soil(raw_soils))
     annual = materialise(annual_moisture(grid, "cell_month"), "annual")
-    filled = fill_moisture(join_annual(soils, annual, one_row_per_year=True), DEFAULT_MOISTURE)
+    joined = join_annual(soils, annual, one_row_per_year=True)
+    # without moisture of its own, the mean of a record's year is the grid's value itself
+    own = "moisture" in soils.columns
+    filled = fill_moisture(joined) if own else fill_constant(joined, "moisture", DEFAULT_MOISTURE)
     return gate(tag_scenario(filled)).select(*INTEGRATED)

@@ -42,18 +42,11 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by the cluster.
-
-    Only a local master without the setting gets a folder of its own (tests).
-    """
+    """Folder that every executor can reach, as named by the session; an error without one."""
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    local = tempfile.mkdtemp(prefix="fieldlake-")
-    spark.conf.set(CHECKPOINT_CONF, local)
-    return local
+    raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -14,7 +14,8 @@ import re
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ class SoilFiles:
 
 
 def describe_csv_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """One row per CSV file below ``root``: path, header, valid_utf8, lines."""
+    """One row per CSV file below ``root``: path, header, valid_utf8, lines, broken_lines."""
     lines = (
         spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob)
@@ -55,10 +56,12 @@ def describe_csv_files(spark: SparkSession, root: str, glob: str = "*.csv") -> D
         F.min_by("value", "position").alias("raw_header"),
         F.bool_and(F.is_valid_utf8("value")).alias("valid_utf8"),
         F.count_if(F.length(F.trim("value")) > 0).alias("lines"),
+        # a line with an odd number of quotes: a field goes on in the next line
+        F.bool_or(F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1).alias("broken_lines"),
     )
     latin = F.decode(F.col("raw_header").cast("binary"), "ISO-8859-1")
     header = F.when(F.col("valid_utf8"), F.col("raw_header")).otherwise(latin)
-    return described.select("path", header.alias("header"), "valid_utf8", "lines")
+    return described.select("path", header.alias("header"), "valid_utf8", "lines", "broken_lines")
 
 
 def _list_files(spark: SparkSession, root: str, glob: str) -> DataFrame:
@@ -88,13 +91,14 @@ def _header_names(header: str) -> list[str]:
     unique = []
     for position, raw in enumerate(names):
         name = raw.strip() or f"_c{position}"
-        seen[name] = seen.get(name, 0) + 1
-        unique.append(name if seen[name] == 1 else f"{name}.{seen[name] - 1}")
+        folded = name.lower()  # column names of a table must differ in more than case
+        seen[folded] = seen.get(folded, 0) + 1
+        unique.append(name if seen[folded] == 1 else f"{name}.{seen[folded] - 1}")
     return unique
 
 
 def _read_csv_group(
-    spark: SparkSession, paths: list[str], header: str, valid_utf8: bool
+    spark: SparkSession, paths: list[str], header: str, valid_utf8: bool, broken_lines: bool
 ) -> DataFrame:
     names = _header_names(header)
     schema = ", ".join(f"`{name.replace('`', '``')}` string" for name in names)
@@ -103,6 +107,8 @@ def _read_csv_group(
         .option("encoding", "UTF-8" if valid_utf8 else "ISO-8859-1")
         .option("enforceSchema", True)
         .option("mode", "PERMISSIVE")
+        .option("escape", '"')
+        .option("multiLine", broken_lines)
         .schema(schema)
         .csv(paths)
     )
@@ -113,14 +119,12 @@ def read_csv_files(spark: SparkSession, root: str, glob: str = "*.csv") -> SoilF
     use_utc(spark)
     described = describe_csv_files(spark, root, glob).collect()
     usable = [row for row in described if row["lines"] > 1]
-    groups: dict[tuple[str, bool], list[str]] = {}
+    groups: dict[tuple[str, bool, bool], list[str]] = {}
     for row in sorted(usable, key=lambda r: r["path"]):
-        groups.setdefault((row["header"], row["valid_utf8"]), []).append(_literal(row["path"]))
+        groups.setdefault((row["header"], row["valid_utf8"], row["broken_lines"]), []).append(_literal(row["path"]))
     if not groups:
         raise FileNotFoundError(f"no usable {glob} file below {root}")
-    frames = [
-        _read_csv_group(spark, paths, header, utf8) for (header, utf8), paths in groups.items()
-    ]
+    frames = [_read_csv_group(spark, paths, *kind) for kind, paths in groups.items()]
     table = functools.reduce(union_by_name, frames)
     used = _paths(spark, [row["path"] for row in usable])
     skipped = (
@@ -136,23 +140,34 @@ def _literal(uri: str) -> str:
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
 
 
+def _listed(spark: SparkSession, root: str, glob: str) -> list[str]:
+    return [row["path"] for row in _list_files(spark, root, glob).collect()]
+
+
 def read_parquet_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> SoilFiles:
-    """All Parquet files below ``root`` as one text table; damaged files are skipped and listed."""
+    """All Parquet files below ``root`` as one text table.
+
+    Files are grouped by the schema in their footers, so that a name may have other types in
+    other files. A file whose footer cannot be read is listed and gives no row; damage further
+    in is an error when it is met, not a loss of rows.
+    """
     use_utc(spark)
-    scan = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", glob)
-        .option("mergeSchema", True)
-        .option("ignoreCorruptFiles", True)
-        .parquet(root)
-    )
-    used = scan.select(_one_slash("_metadata.file_path").alias("path")).distinct()
-    skipped = (
-        _list_files(spark, root, glob)
-        .join(used, "path", "left_anti")
-        .withColumn("reason", F.lit("unreadable or empty"))
+    groups: dict[str, list[str]] = {}
+    bad: list[str] = []
+    for path in _listed(spark, root, glob):
+        try:
+            schema = spark.read.parquet(_literal(path)).schema.json()
+            groups.setdefault(schema, []).append(_literal(path))
+        except (PySparkException, Py4JJavaError):
+            bad.append(path)
+    if not groups:
+        raise FileNotFoundError(f"no usable {glob} file below {root}")
+    frames = [as_text(spark.read.parquet(*paths)) for paths in groups.values()]
+    skipped = _paths(spark, bad) if bad else spark.createDataFrame([], "path string")
+    return SoilFiles(
+        functools.reduce(union_by_name, frames),
+        skipped.withColumn("reason", F.lit("unreadable or empty")),
     )
-    return SoilFiles(as_text(scan), skipped)
 
 
 def as_text(df: DataFrame) -> DataFrame:

@@ -32,13 +32,3 @@ def normalise(df: DataFrame) -> DataFrame:
         elif isinstance(field.dataType, (DoubleType, FloatType)):
             changes[field.name] = nan_to_null(F.col(f"`{field.name}`")).cast(field.dataType)
     return df.withColumns(changes) if changes else df
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Rows over all cores when there are fewer files than cores, unchanged otherwise.
-
-    For compute-heavy steps over small inputs, which may sit in a single row group. Tables with
-    many files are parallel as they are and are not shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if len(df.inputFiles()) >= cores else df.repartition(cores)

@@ -4,9 +4,8 @@ import pytest
 
 import __spark_entry__
 from tests.oracle import connect, differences
+from workload import ORACLES, QUERIES
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")

@@ -2,20 +2,20 @@
 
 import pytest
 
-import __spark_entry__
 from fieldlake.operators.quality import gate
 from fieldlake.plans.sensors import run_stress_test
 from fieldlake.sinks.writers import _by_day
-from fieldlake.sources.tables import read_table, spread
+from fieldlake.sources.tables import read_table
+from workload import QUERIES
 from workload.views import sensors
 
-QUERIES = __spark_entry__.queries()
 # The only queries with Arrow kernels; everything else stays in the JVM.
 WITH_PYTHON = {
     "leave_one_out_importance",
     "linear_attribution",
     "text_embedding_topk",
     "vector_topk_batch",
+    "vector_self_topk",
 }
 
 
@@ -48,14 +48,6 @@ def test_load_lets_aqe_split_large_days(spark, sf_dir, plan_of):
     assert "REBALANCE_PARTITIONS_BY_COL" in plan
 
 
-def test_spread_leaves_many_files_alone(spark, tmp_path, plan_of):
-    many = spark.range(1000).repartition(64)
-    many.write.parquet(str(tmp_path / "many"))
-    many.coalesce(1).write.parquet(str(tmp_path / "one"))
-    assert "Exchange" not in plan_of(spread(spark.read.parquet(str(tmp_path / "many"))))
-    assert "Exchange" in plan_of(spread(spark.read.parquet(str(tmp_path / "one"))))
-
-
 def test_catalog_table_source(spark):
     spark.range(3).write.mode("overwrite").saveAsTable("three_rows")
     assert read_table(spark, "three_rows").count() == 3

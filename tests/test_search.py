@@ -44,10 +44,10 @@ def test_exact_search(items, vectors, plan_of):
     assert "TakeOrderedAndProject" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("max_queries", [search.MAX_QUERIES, 3])
-def test_batch_search_in_both_ways(items, vectors, max_queries):
+@pytest.mark.parametrize("block", [search.QUERY_BLOCK, 3])
+def test_batch_search_in_blocks(items, vectors, block):
     queries = items.filter("id % 20 = 0").select(F.col("id").alias("query_id"), "embedding")
-    found = search.similar_batch(items, queries, 6, max_queries=max_queries).collect()
+    found = search.similar_batch(items, queries, 6, block=block).collect()
     for query in range(0, 200, 20):
         rows = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
         want = expected(vectors, vectors[query], 6)

@@ -1,4 +1,3 @@
-import itertools
 import math
 
 import numpy as np
@@ -37,31 +36,7 @@ def test_ks_statistic(spark, buckets, kind):
     assert 0 <= row["p_value"] <= 1
 
 
-def test_exact_p_by_enumeration():
-    m, n = 5, 4
-    for width in range(1, m * n + 1):
-        d = width / (m * n)
-        outside = total = 0
-        for ups in itertools.combinations(range(m + n), n):
-            i = j = 0
-            worst = 0
-            for step in range(m + n):
-                i, j = (i, j + 1) if step in ups else (i + 1, j)
-                worst = max(worst, abs(i * n - j * m))
-            outside += worst >= width
-            total += 1
-        assert stats.outside_share(d, m, n) == pytest.approx(outside / total, abs=1e-12)
-
-
-def test_asymptotic_p_approaches_the_exact_one(spark):
-    rng = np.random.default_rng(5)
-    a, b = numbers(spark, rng.normal(size=2000)), numbers(spark, rng.normal(0.05, 1, size=1800))
-    exact = stats.ks_test(a, b, "v").first()["p_value"]
-    limit = stats.ks_test(a, b, "v", exact_up_to=0).first()["p_value"]
-    assert exact == pytest.approx(limit, abs=0.02) and exact != limit
-
-
-def test_large_samples_skip_the_exact_p(spark):
+def test_large_samples(spark):
     a = spark.range(200_000).select(F.rand(1).alias("v"))
     b = spark.range(150_000).select(F.rand(2).alias("v"))
     assert 0 < stats.ks_test(a, b, "v").first()["p_value"] <= 1

@@ -67,12 +67,24 @@ def test_applications_like_brute_force(found):
     assert found[0]["applications"] and not found[3]["applications"]
 
 
-@pytest.mark.parametrize("least", [1, 5])
-def test_both_ways_of_matching_agree(corpus, spark, least):
-    analysed = ta.extract_concepts(corpus)
-    small = ta.match_applications(analysed, applications(spark), least)
-    large = ta.match_applications(analysed, applications(spark), least, token_bound=0)
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, large.select(small.columns).collect()))
+def test_every_row_and_entry_matches_by_itself(spark):
+    rows = [(1, ["Quantum sensor"]), (1, ["qubit"]), (None, ["qubit"]), (2, []), (3, None)]
+    analysed = spark.createDataFrame(rows, "doc_id long, concepts array<string>")
+    catalogue = spark.createDataFrame(
+        [("A", "sensor", ["d1"]), ("A", "qubit", ["d2"]), ("B", "bit quantum", ["d3", "d1"]), ("C", None, ["d4"])],
+        "name string, description string, domains array<string>",
+    )
+    found = ta.match_applications(analysed, catalogue).select(*analysed.columns, "applications", "domains")
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [
+            (1, ["Quantum sensor"], ["A", "B"], ["d1", "d3"]),
+            (1, ["qubit"], ["A", "B"], ["d1", "d2", "d3"]),
+            (None, ["qubit"], ["A", "B"], ["d1", "d2", "d3"]),
+            (2, [], [], []),
+            (3, None, [], []),
+        ],
+        key=str,
+    )
 
 
 def test_dataset_rows(corpus, spark):
@@ -109,6 +121,6 @@ def test_one_pass_over_the_text(spark, sf_dir, plan_of):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     result = analyse_documents(documents)
     plan = plan_of(result.concept_rows)
-    assert plan.count("Scan parquet") == 2  # once in the tree, once in the details
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Scan parquet") == 6  # the stored rows thrice, each in the tree and the details
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert "EvalPython" not in plan

@@ -9,7 +9,6 @@ from fieldlake.functions.text import find_all, phrase_patterns, word_count
 from fieldlake.operators import text_analysis as ta
 from fieldlake.operators.aggregates import count_elements
 from fieldlake.sources.catalogue import APPLICATIONS, applications
-from fieldlake.sources.tables import spread
 from workload.registry import joined, query, rounded
 from workload.views import table
 
@@ -30,7 +29,7 @@ CATALOGUE_TOKENS = 6
 
 
 def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return table(spark, sf_dir, "documents").select("doc_id", "text")
 
 
 def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,6 +170,27 @@ def application_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(
+    f"""WITH {ANALYSED}, {CATALOGUE}, {_matched_sql(CATALOGUE_TOKENS)}
+    SELECT doc_id AS row_id, CASE doc_id % 5 WHEN 0 THEN -1 WHEN 1 THEN 1 ELSE doc_id END AS shown_id,
+           array_to_string(applications, '|') AS applications,
+           array_to_string(domains, '|') AS domains FROM analysis"""
+)
+def application_match_edge_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row has its own match where ids are missing or repeated."""
+    texts = _texts(spark, sf_dir).withColumn("row_id", F.col("doc_id"))
+    place = F.col("doc_id") % 5
+    texts = texts.withColumn("doc_id", F.when(place == 1, 1).when(place != 0, F.col("doc_id")))
+    analysed = ta.extract_concepts(texts, LEXICON)
+    found = ta.match_applications(analysed, _catalogue(spark, sf_dir), CATALOGUE_TOKENS)
+    return found.select(
+        "row_id",
+        F.coalesce("doc_id", F.lit(-1).cast("long")).alias("shown_id"),
+        joined("applications").alias("applications"),
+        joined("domains").alias("domains"),
+    )
+
+
 @query(
     f"""WITH {ANALYSED}, {DEFAULT_CATALOGUE}, {_matched_sql(1)}
     SELECT domain, count(*) AS n FROM (SELECT unnest(domains) AS domain FROM analysis) GROUP BY 1"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions.identity import grid_field_id
 from fieldlake.functions.numeric import binary_to_long
-from fieldlake.functions.temporal import epoch_seconds, floor_window, iso_text
+from fieldlake.functions.temporal import epoch_seconds, floor_window, iso_text, parse_timestamp
 from fieldlake.functions.text import title_words
 from fieldlake.operators import aggregates, quality
 from fieldlake.operators.rows import distinct_rows, number_within, top_n, union_by_name
@@ -88,11 +88,9 @@ _VIOLATIONS = "list_filter([" + ", ".join(
                  AS violation FROM tagged) GROUP BY 1"""
 )
 def quarantine_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean, rejected = quality.quarantine(sensors(spark, sf_dir))
-    labels = clean.select(F.lit("clean").alias("violation")).unionByName(
-        rejected.select(F.explode("violations").alias("violation"))
-    )
-    return aggregates.count_by(labels, "violation")
+    tagged = quality.with_violations(sensors(spark, sf_dir))
+    labels = F.when(F.size("violations") == 0, F.array(F.lit("clean"))).otherwise(F.col("violations"))
+    return aggregates.count_by(tagged.select(F.explode(labels).alias("violation")), "violation")
 
 
 @query(
@@ -294,7 +292,8 @@ def distinct_and_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""WITH {SENSORS} SELECT event_id, '{{"timestamp":"' ||
-      strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || 'Z","field_id":"' || field_id || '"' ||
+      strftime("timestamp", '%Y-%m-%dT%H:%M:%S') || CASE WHEN microsecond("timestamp") % 1000000 = 0
+      THEN '' ELSE strftime("timestamp", '.%f') END || 'Z","field_id":"' || field_id || '"' ||
       {" || ".join(f"',{chr(34)}{c}{chr(34)}:' || coalesce('{chr(34)}' || " + _DEC.format(c)
                    + f" || '{chr(34)}', 'null')"
                    for c in JSON_FIELDS[2:])} || '}}' AS content FROM sensors"""
@@ -446,8 +445,23 @@ def _per_day(readings: DataFrame) -> DataFrame:
 )
 def stored_incomplete_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table created from a query, read back."""
-    readings = sensors(spark, sf_dir)
-    complete = quality.drop_incomplete(readings).select("event_id")
-    rest = readings.select("event_id", "field_id").join(complete, "event_id", "left_anti")
+    rest = quality.keep_incomplete(sensors(spark, sf_dir))
     path = replace_parquet(aggregates.count_by(rest, "field_id"), scratch_path(spark, "table"))
     return spark.read.parquet(path)
+
+
+# The spellings of the query below, by the order's key.
+_SPELLINGS = (
+    "yyyy-MM-dd", "yyyy/MM/dd", "MM/dd/yyyy", "d MMM yyyy", "d MMMM yyyy", "yyyyMMdd", "MMM d, yyyy", "dd.MM.yyyy",
+)
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d 00:00:00') AS day FROM orders")
+def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dates written in eight ways, read back."""
+    orders = table(spark, sf_dir, "orders")
+    text = F.lit(None).cast("string")
+    for number, pattern in enumerate(_SPELLINGS):
+        chosen = F.col("o_orderkey") % len(_SPELLINGS) == number
+        text = F.when(chosen, F.date_format("o_orderdate", pattern)).otherwise(text)
+    return orders.select("o_orderkey", time_text(parse_timestamp(text)).alias("day"))

@@ -137,7 +137,7 @@ def ks_two_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = drop_nulls(table(spark, sf_dir, "events").select("event_type", "value"), ["value"])
     clicks = keep_category(values, "event_type", "click")
     views = keep_category(values, "event_type", "view")
-    return rounded(stats.ks_test(clicks, views, "value", exact_up_to=0), 9)
+    return rounded(stats.ks_test(clicks, views, "value"), 9)
 
 
 @query(

@@ -9,7 +9,6 @@ from fieldlake.functions.text import TOKEN
 from fieldlake.operators.embeddings import embed_text
 from fieldlake.operators.search import build_index, search_index, search_text, similar, similar_batch
 from fieldlake.session import scratch_path
-from fieldlake.sources.tables import spread
 from workload.registry import query
 from workload.views import table
 
@@ -56,6 +55,24 @@ def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(found, "query_id", "item_id", "rank")
 
 
+@query(
+    f"""WITH s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id,
+                 list_dot_product(i.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS s
+                 FROM embeddings i, embeddings q)
+    SELECT 'v' || query_id AS query_id, 'v' || item_id AS item_id, round(s, 6) AS score,
+           CAST(r AS INTEGER) AS "rank" FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, 'v' || item_id) AS r
+      FROM s) WHERE r <= 3"""
+)
+def vector_self_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest items of every item, under text ids; queries without a vector find nothing."""
+    name = F.concat(F.lit("v"), F.col("vec_id").cast("string"))
+    items = table(spark, sf_dir, "embeddings").select(name.alias("vec_id"), "embedding")
+    empty = items.select(F.concat(F.lit("none "), "vec_id").alias("vec_id"), F.lit(None).cast("array<float>").alias("embedding"))
+    queries = items.union(empty).withColumnRenamed("vec_id", "query_id")
+    return _scored(similar_batch(items, queries, 3, "vec_id"), "query_id", "item_id", "rank")
+
+
 @query(
     f"""WITH texts AS (SELECT doc_id, text FROM documents
                        UNION ALL SELECT -1, '{QUESTION}'),
@@ -73,7 +90,7 @@ def vector_topk_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY round(s, 12) DESC, doc_id LIMIT {TOP}"""
 )
 def text_embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     embedded = embed_text(documents, dimension=DIMENSION)
     found = search_text(embedded, QUESTION, TOP, "doc_id", dimension=DIMENSION)
     return _scored(found, "doc_id")

@@ -13,7 +13,7 @@ from fieldlake.functions.identity import deterministic_score
 from fieldlake.functions.temporal import second_text
 from fieldlake.session import ship_package
 from fieldlake.sources.grids import moisture_grid
-from fieldlake.sources.tables import normalise, read_parquet, spread
+from fieldlake.sources.tables import normalise, read_parquet
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings from ``events``, with the event id kept as a key."""
-    return as_readings(spread(table(spark, sf_dir, "events")))
+    return as_readings(table(spark, sf_dir, "events"))
 
 
 def as_readings(events: DataFrame) -> DataFrame:
@@ -52,7 +52,7 @@ sensors AS (
          3 + value / 41 AS soil_ph, value / 2.1 AS nitrogen, 0.6 * k AS phosphorus,
          value / 3 AS potassium, CASE WHEN k >= 3 THEN 1.2 * k - 5 END AS moisture,
          value / 4.1 - 22 AS temperature, event_type AS scenario,
-         {score_sql("'42' || event_id || strftime(ts, '%Y-%m-%d %H:%M:%S')")} AS q_value
+         {score_sql("'42' || event_id || strftime(ts, '%Y-%m-%d %H:%M:%S') || CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END")} AS q_value
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events))
 """
 
@@ -128,7 +128,7 @@ annual AS (SELECT CAST(year(mon) AS INTEGER) AS "year", avg(m) AS moisture FROM
 
 def raw_soil(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loosely formatted soil records from ``lineitem``: text columns with junk in them."""
-    items = spread(table(spark, sf_dir, "lineitem"))
+    items = table(spark, sf_dir, "lineitem")
     year = F.year("l_shipdate").cast("string")
     return items.select(
         F.col("l_orderkey").alias("record"),
