@@ -1,4 +1,4 @@
-"""Times the headline queries and prints one JSON line.
+"""Times the queries and prints one JSON line; its value is the sum over the headline queries.
 
 ``BENCH_SF_DIR`` names the folder with the tables, ``BENCH_CPUS`` the number of cores.
 """
@@ -71,13 +71,13 @@ def main() -> None:
     for name in ("sensor_gate_by_field", "leave_one_out_importance"):
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     seconds: dict[str, float] = {}
-    for name in HEADLINE:
+    for name in [*HEADLINE, *(name for name in QUERIES if name not in HEADLINE)]:
         start = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         seconds[name] = round(time.perf_counter() - start, 3)
     result = {
         "metric": "total seconds of the headline queries",
-        "value": round(sum(seconds.values()), 3),
+        "value": round(sum(seconds[name] for name in HEADLINE), 3),
         "unit": "sec",
         "queries": seconds,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

@@ -42,11 +42,19 @@ def ship_package(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder that every executor can reach, as named by the session; an error without one."""
+    """Folder that every executor can reach, as named by the session.
+
+    Where the setting is missing, a local master gets a folder of its own, as in tests; on a
+    cluster that is an error, because no folder of the driver is shared.
+    """
     configured = spark.conf.get(CHECKPOINT_CONF, None)
     if configured:
         return configured.rstrip("/")
-    raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+    local = tempfile.mkdtemp(prefix="fieldlake-")
+    spark.conf.set(CHECKPOINT_CONF, local)
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
