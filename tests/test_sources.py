@@ -152,3 +152,10 @@ def test_normalise_types(spark):
     row = tables.normalise(df)
     assert dict(row.dtypes)["t"] == "timestamp"
     assert row.first()["x"] is None
+
+
+def test_profile_of_a_map_column(spark):
+    df = spark.sql("SELECT * FROM VALUES (1, map('a', 1)), (2, NULL) AS t(n, m)")
+    facts = {r["column"]: r for r in profile(df).collect()}
+    assert (facts["m"]["rows"], facts["m"]["nulls"], facts["m"]["min"], facts["m"]["max"]) == (2, 1, None, None)
+    assert (facts["n"]["min"], facts["n"]["max"]) == ("1", "2")
