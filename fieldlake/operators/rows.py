@@ -44,15 +44,19 @@ def with_range_bucket(df: DataFrame, column: str, buckets: int, out: str) -> Dat
 
 
 def number_within(
-    df: DataFrame, group: list[str], order: str, out: str, buckets: int = 64
+    df: DataFrame, group: list[str], order: str | list[str], out: str, buckets: int = 64
 ) -> DataFrame:
     """0-based position of every row within its group, by a numeric or time column.
 
+    More columns after the first one break ties; together with the group they should be a key,
+    or equal rows are numbered in any order.
+
     A group may hold most of the table: rows are numbered within (group, range of ``order``) and
     shifted by the group's counts in earlier ranges, so a large group is shared by many tasks.
     """
-    placed = with_range_bucket(df, order, buckets, "_bucket")
-    inside = Window.partitionBy(*group, "_bucket").orderBy(order)
+    keys = [order] if isinstance(order, str) else order
+    placed = with_range_bucket(df, keys[0], buckets, "_bucket")
+    inside = Window.partitionBy(*group, "_bucket").orderBy(*keys)
     before = Window.partitionBy(*group).orderBy("_bucket")
     before = before.rowsBetween(Window.unboundedPreceding, -1)
     # At most ``buckets`` rows per group.

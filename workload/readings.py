@@ -465,3 +465,14 @@ def mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         chosen = F.col("o_orderkey") % len(_SPELLINGS) == number
         text = F.when(chosen, F.date_format("o_orderdate", pattern)).otherwise(text)
     return orders.select("o_orderkey", time_text(parse_timestamp(text)).alias("day"))
+
+
+@query(
+    """SELECT o_orderkey, row_number() OVER (PARTITION BY o_orderpriority
+       ORDER BY CAST(o_orderdate AS DATE), o_orderkey) - 1 AS "position" FROM orders"""
+)
+def position_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many orders share a day; the key breaks the tie."""
+    days = F.unix_date(F.to_date("o_orderdate"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", days.alias("day"))
+    return number_within(orders, ["o_orderpriority"], ["day", "o_orderkey"], "position").select("o_orderkey", "position")
