@@ -317,7 +317,6 @@ def temperature_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
         *place,
         F.when((k >= 3) & (1.2 * k - 5 >= 50), F.col("value") / 4.1 - 22).alias("temperature"),
     )
-    weather = events.filter(F.col("event_type").isin("view", "error")).select(
-        *place, F.col("ts").alias("date"), (F.col("value") / 11).alias("temperature")
-    )
+    measured = F.when(F.col("event_type").isin("view", "error"), F.col("value") / 11)
+    weather = events.select(*place, F.col("ts").alias("date"), measured.alias("temperature"))
     return rounded(enrich.fill_temperature(readings, weather).select("event_id", "temperature"))
