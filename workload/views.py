@@ -13,6 +13,7 @@ from fieldlake.functions.identity import deterministic_score
 from fieldlake.functions.temporal import second_text
 from fieldlake.session import ship_package
 from fieldlake.sources.grids import moisture_grid
+from fieldlake.schema import RANGES
 from fieldlake.sources.tables import normalise, read_parquet
 
 
@@ -56,27 +57,17 @@ sensors AS (
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k FROM events))
 """
 
-_BOUNDS = {
-    "soil_ph": (3.5, 9.0),
-    "moisture": (0.0, 100.0),
-    "nitrogen": (0.0, 100.0),
-    "phosphorus": (0.0, 50.0),
-    "potassium": (0.0, 100.0),
-    "temperature": (-20.0, 60.0),
-}
-
-
 def clamp_sql(relation: str) -> str:
     """Select list that clamps the measurements; a NULL saturates to the upper bound."""
     clamped = ", ".join(
-        f"greatest({lo}::DOUBLE, least({hi}::DOUBLE, {c})) AS {c}" for c, (lo, hi) in _BOUNDS.items()
+        f"greatest({lo}::DOUBLE, least({hi}::DOUBLE, {c})) AS {c}" for c, (lo, hi) in RANGES.items()
     )
     return f"SELECT * REPLACE ({clamped}) FROM {relation}"
 
 
 COMPLETE_SQL = " AND ".join(
     f"{c} IS NOT NULL"
-    for c in ['"timestamp"', "field_id", *_BOUNDS, "q_value"]
+    for c in ['"timestamp"', "field_id", *RANGES, "q_value"]
 )
 
 GATED = f"""
