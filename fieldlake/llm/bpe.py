@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 from fieldlake.llm.common import documents, prepare, text_slices
 from fieldlake.llm.registry import query
 
-#: Text per step of a task, words per recursive query, and words kept with their ids.
-SLICE_BYTES = 4 << 20
-WORDS_PER_QUERY = 40_000
-WORDS_KEPT = 400_000
+#: Text per step of a task, words per recursive query, words kept with their ids, ids decoded at once.
+SLICE_BYTES = 2 << 20
+WORDS_PER_QUERY = 20_000
+WORDS_KEPT = 250_000
+IDS_PER_QUERY = 300_000
 #: A longer word contracts many pairs of its least rank in a step.
 LONG_WORD = 256
 
@@ -114,7 +115,7 @@ class Encoder:
         self.words = regex.compile(pattern).findall
         self.ranks = ranks
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+        self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         self.db.register("given", merge_table(ranks))
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.forget()
@@ -233,7 +234,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
         db = None
         for batch in batches:
             if db is None:
-                db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
+                db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
                 ranks = shipped.value
                 # one character per byte, so that any bytes can be text
                 names = pa.array([token.decode("latin-1") for token in ranks])
@@ -243,7 +244,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
             at = 0
             lengths = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
             while at < batch.num_rows:
-                stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), 1_000_000, "right")))
+                stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), IDS_PER_QUERY, "right")))
                 yield decode_rows(db, known, batch.slice(at, stop - at), lengths[at:stop])
                 at = stop
 

@@ -24,7 +24,7 @@ BLOCK_BYTES = 8 << 20
 def prepare(spark: SparkSession) -> SparkSession:
     """Ship the package to the executors and bound the bytes of an Arrow batch."""
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "5000")
     return spark
 
