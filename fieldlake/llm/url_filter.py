@@ -7,6 +7,7 @@ verdicts in one join.
 
 from __future__ import annotations
 
+import functools
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,11 +40,10 @@ RULES = (
     Rule("block", "net", "/fr/"),
 )
 
-#: Levels of the tree; deeper segments fall under one tail wildcard.
-LEVELS = 4
-#: A node with more children than this, most of them rare, has a variable segment.
+#: A node with more children than this, half of them with at most this share of its rows,
+#: has a variable segment. Neither changes where every row comes several times.
 MANY_CHILDREN = 20
-RARE_ROWS = 5
+RARE_SHARE = 0.02
 #: Sibling branches nearer than this many standard errors are merged.
 SAME_WITHIN = 1.96
 #: Weight of the wider level's purity, in labelled rows.
@@ -73,15 +73,13 @@ def rule_columns(host: Column, path: Column, rules: tuple[Rule, ...]) -> tuple[C
 
 
 def shape(path: Column) -> Column:
-    """A path's first segments with numbers, hashes and dates generalised, as an array."""
-    parts = F.filter(F.split(path, "/", -1), lambda s: s != "")
-    seen = F.transform(
-        F.slice(parts, 1, LEVELS),
+    """A path's segments with numbers, hashes and dates generalised, as an array."""
+    return F.transform(
+        F.filter(F.split(path, "/", -1), lambda s: s != ""),
         lambda s: F.when(
             s.rlike(r"^[0-9A-Fa-f]{8,}$") & s.rlike("[0-9]"), F.lit("{hex}")
         ).otherwise(F.regexp_replace(s, r"[0-9]+", "{n}")),
     )
-    return F.when(F.size(parts) > LEVELS, F.concat(seen, F.array(F.lit("**")))).otherwise(seen)
 
 
 def smoothed(wider: Column) -> Column:
@@ -89,64 +87,117 @@ def smoothed(wider: Column) -> Column:
     return (F.col("blocked") + PRIOR_ROWS * wider) / (F.col("labelled") + PRIOR_ROWS)
 
 
+#: Counts of a path's rows, of those with a rule, and of those blocked by one.
+SUMS = ("rows", "labelled", "blocked")
+
+
+def _joined(segments: Column) -> Column:
+    """Segments as a path, empty for none."""
+    return F.when(F.size(segments) > 0, F.concat(F.lit("/"), F.array_join(segments, "/"))).otherwise("")
+
+
+def _past_chains(tree: DataFrame) -> DataFrame:
+    """``tree`` with the segments that all paths of a node begin with moved to its template.
+
+    A node with one child has nothing to decide. The common beginning of some arrays is that
+    of the least and the greatest of them.
+    """
+    node = ["host", "template"]
+    ends = tree.groupBy(*node).agg(F.min("rest").alias("low"), F.max("rest").alias("high"))
+    pairs = F.arrays_zip(F.col("low").alias("l"), F.col("high").alias("h"))
+    differs = F.array_position(F.transform(pairs, lambda p: p["l"].eqNullSafe(p["h"])), False)
+    common = F.when(differs == 0, F.size("low")).otherwise(differs - 1).cast("int")
+    ends = ends.select(*node, common.alias("common"))
+    return tree.join(ends, node).select(
+        "host",
+        "shape",
+        *SUMS,
+        F.concat("template", _joined(F.slice("rest", F.lit(1), F.col("common")))).alias("template"),
+        F.slice("rest", F.col("common") + 1, F.greatest(F.size("rest"), F.lit(1))).alias("rest"),
+    )
+
+
+def _branches(tree: DataFrame) -> DataFrame:
+    """host, template, segment and what the segment adds to the template, of all branches."""
+    node = ["host", "template"]
+    branches = tree.groupBy(*node, F.get("rest", F.lit(0)).alias("segment")).agg(
+        *[F.sum(name).alias(name) for name in SUMS]
+    )
+    wild = branches.groupBy(*node).agg(
+        (
+            (F.count("*") > MANY_CHILDREN) & (F.percentile("rows", F.lit(0.5)) <= RARE_SHARE * F.sum("rows"))
+        ).alias("wild")
+    )
+    branches = branches.join(wild, node)
+    # the labelled share of a branch, pulled to one half by one row of each verdict
+    share = (F.col("blocked") + 1) / (F.col("labelled") + 2)
+    error = share * (1 - share) / (F.col("labelled") + 2)
+    seen = (F.col("labelled") > 0) & ~F.col("wild") & F.col("segment").isNotNull()
+    # branches of equal counts are never apart, so the order is of distinct counts
+    counts = ["labelled", "blocked"]
+    levels = branches.filter(seen).groupBy(*node, *counts).agg(
+        F.min("segment").alias("least"), F.count("*").alias("many"), F.bit_xor(F.xxhash64("segment")).alias("mark")
+    )
+    order = Window.partitionBy(*node).orderBy("share", "labelled")
+    apart = (F.col("share") - F.lag("share").over(order)) >= SAME_WITHIN * F.sqrt(
+        F.col("error") + F.lag("error").over(order)
+    )
+    levels = (
+        levels.withColumns({"share": share, "error": error})
+        .withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
+        .withColumn("branch", F.sum("apart").over(order))
+    )
+    merged = Window.partitionBy(*node, "branch")
+    least, many = F.min("least").over(merged), F.sum("many").over(merged)
+    # a merged branch is named by its least segment, their number, and a hash of them all
+    name = F.when(many == 1, least).otherwise(
+        F.concat_ws("|", least, many.cast("string"), F.hex(F.bit_xor("mark").over(merged)))
+    )
+    levels = levels.select(*node, *counts, name.alias("name"))
+    grown = (
+        F.when(F.col("segment").isNull(), F.lit(""))
+        .when(F.col("wild"), F.lit("*"))
+        .otherwise(F.concat(F.lit("/"), F.coalesce("name", "segment")))
+    )
+    return branches.join(levels, [*node, *counts], "left").select(*node, "segment", grown.alias("grown"))
+
+
 def template_verdicts(paths: DataFrame) -> DataFrame:
     """host, shape, template, purity of every distinct (host, shape).
 
-    ``paths`` has host, shape, rows, labelled, blocked. Level by level, a node's segment
-    becomes ``*`` where the node has many rare children, and siblings whose blocked shares
-    do not differ by ``SAME_WITHIN`` standard errors are merged. A template's purity is its
-    blocked share smoothed towards the same template's share over all hosts, which is
-    smoothed towards the share of all labelled rows.
+    ``paths`` has host, shape, rows, labelled, blocked. Level by level, until no path has a
+    segment left, a node's segment becomes ``*`` where the node has many rare children, and
+    siblings whose blocked shares do not differ by ``SAME_WITHIN`` standard errors are merged.
+    A template's purity is its blocked share smoothed towards the same template's share over
+    all hosts, which is smoothed towards the share of all labelled rows.
     """
     spark = paths.sparkSession
-    tree, path = stored(paths.withColumn("template", F.lit("")), "url-tree")
-    levels = [path]
-    for level in range(LEVELS + 1):
-        tree = tree.withColumn("segment", F.get("shape", F.lit(level)))
-        node = ["host", "template"]
-        branches = tree.groupBy(*node, "segment").agg(
-            *[F.sum(name).alias(name) for name in ("rows", "labelled", "blocked")]
-        )
-        siblings = Window.partitionBy(*node)
-        branches = branches.withColumn(
-            "label",
-            F.when(F.col("segment").isNull(), F.lit(""))
-            .when(
-                (F.count("*").over(siblings) > MANY_CHILDREN)
-                & (F.percentile_approx("rows", 0.5).over(siblings) <= RARE_ROWS),
-                F.lit("*"),
-            )
-            .otherwise(F.concat(F.lit("/"), F.col("segment"))),
-        )
-        # the labelled share of a branch, pulled to one half by one row of each verdict
-        share = (F.col("blocked") + 1) / (F.col("labelled") + 2)
-        error = share * (1 - share) / (F.col("labelled") + 2)
-        branches = (
-            branches.withColumn("share", share)
-            .withColumn("error", error)
-            .withColumn("seen", (F.col("labelled") > 0) & (F.col("label") != ""))
-        )
-        order = Window.partitionBy(*node, "seen").orderBy("share", "segment")
-        apart = (F.col("share") - F.lag("share").over(order)) >= SAME_WITHIN * F.sqrt(
-            F.col("error") + F.lag("error").over(order)
-        )
-        branches = branches.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int"))
-        branches = branches.withColumn("branch", F.sum("apart").over(order))
-        merged = Window.partitionBy(*node, "seen", "branch")
-        grown = F.when(
-            F.col("seen") & (F.col("label") != "*"),
-            F.concat(F.lit("/"), F.array_join(F.array_sort(F.collect_set("segment").over(merged)), "|")),
-        ).otherwise(F.col("label"))
-        branches = branches.select(*[F.col(name).alias(f"b_{name}") for name in (*node, "segment")], grown.alias("grown"))
-        same = [F.col(name).eqNullSafe(F.col(f"b_{name}")) for name in (*node, "segment")]
-        tree, path = stored(
-            tree.join(branches, same).select(
-                "host", "shape", "rows", "labelled", "blocked", F.concat("template", "grown").alias("template")
-            ),
-            "url-tree",
+    start = paths.select("host", "shape", *SUMS, F.lit("").alias("template"), F.col("shape").alias("rest"))
+    tree, path = stored(_past_chains(start), "url-tree")
+    levels, whole = [path], []
+    while True:
+        whole.append(tree.filter(F.size("rest") == 0).drop("rest"))
+        # a path that ends at a node is one of its children, so nodes keep theirs until all end
+        if tree.filter(F.size("rest") > 0).isEmpty():
+            break
+        branches = _branches(tree)
+        b = branches.select(*[F.col(name).alias(f"b_{name}") for name in ("host", "template", "segment")], "grown")
+        same = [
+            F.col("host") == F.col("b_host"),
+            F.col("template") == F.col("b_template"),
+            F.get("rest", F.lit(0)).eqNullSafe(F.col("b_segment")),
+        ]
+        deeper = tree.filter(F.size("rest") > 0).join(b, same).select(
+            "host",
+            "shape",
+            *SUMS,
+            F.concat("template", "grown").alias("template"),
+            F.slice("rest", F.lit(2), F.size("rest")).alias("rest"),
         )
+        tree, path = stored(_past_chains(deeper), "url-tree")
         levels.append(path)
-    drop(spark, *levels[:-1])
+    tree, path = stored(functools.reduce(DataFrame.union, whole), "url-templates")
+    drop(spark, *levels)
     base = tree.agg((F.sum("blocked") + 1) / (F.sum("labelled") + 2)).scalar()
     sums = [F.sum("labelled").alias("labelled"), F.sum("blocked").alias("blocked")]
     wide = tree.groupBy("template").agg(*sums).select("template", smoothed(F.coalesce(base, F.lit(0.5))).alias("wide"))

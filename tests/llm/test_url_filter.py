@@ -54,6 +54,28 @@ def test_many_rare_children_become_a_wildcard(spark):
     assert found == {"*/x"}
 
 
+def test_branches_below_the_fourth_segment_are_told_apart(spark):
+    rules = (Rule("block", "h.org", "/a/b/c/d/spam/1"), Rule("allow", "h.org", "/a/b/c/d/news/1"))
+    urls = [f"http://h.org/a/b/c/d/{kind}/1{n}" for kind in ("spam", "news") for n in range(60)]
+    urls += ["http://h.org/a/b/c/d/spam/25", "http://h.org/a/b/c/d/news/26"]
+    got = {r.page_id: (r.verdict, r.template) for r in filter_urls(pages(spark, urls), rules).collect()}
+    assert got[120] == ("block", "/a/b/c/d/spam/{n}") and got[121] == ("allow", "/a/b/c/d/news/{n}")
+
+
+def test_templates_do_not_depend_on_how_often_pages_come(spark):
+    urls = [f"http://h.org/{chr(97 + n % 26)}{chr(97 + n // 26)}/x" for n in range(200)] + ["http://h.org/ab"]
+    urls += [f"http://h.org/p/{chr(97 + n % 3)}/y/z" for n in range(9)] + ["http://k.org/p/q", "http://k.org"]
+    once, often = filter_urls(pages(spark, urls)), filter_urls(pages(spark, urls * 10))
+    assert {(r.path, r.template) for r in once.collect()} == {(r.path, r.template) for r in often.collect()}
+
+
+def test_name_of_a_merged_branch_is_short(spark):
+    rules = (Rule("block", "h.org", "/"),)
+    urls = [f"http://h.org/{'x' * 50}{chr(97 + n)}/{k}" for n in range(18) for k in "ab"]
+    found = {r.template for r in filter_urls(pages(spark, urls), rules).select("template").collect()}
+    assert len(found) == 1 and len(found.pop()) < 150
+
+
 def test_empty_table(spark):
     assert filter_urls(pages(spark, [])).count() == 0
 
