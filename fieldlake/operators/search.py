@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 import logging
 import math
 from collections.abc import Iterator
@@ -12,18 +11,33 @@ import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldlake.functions.numeric import dot
+from fieldlake.operators.cells import (
+    SAMPLE,
+    SLACK,
+    Cells,
+    assigned,
+    cell_sizes,
+    cells_for,
+    cells_of,
+    centres_of,
+    join_by_cell,
+    matrix,
+    query_kernel,
+    sample_of,
+    usable,
+)
 from fieldlake.operators.embeddings import DIMENSION, embed_text
-from fieldlake.operators.rows import top_n, top_per_group
+from fieldlake.operators.rows import top_n
 from fieldlake.session import materialise
 
 log = logging.getLogger(__name__)
 
-QUERY_BLOCK = 1024
-SCORES_AT_ONCE = 4_000_000
+#: Items per cell that the centres of an index are fitted to.
+FIT_ROWS = 256
 
 
 def similar(
@@ -54,47 +68,17 @@ def search_text(
     item_id: str = "id",
     vector: str = "embedding",
     dimension: int = DIMENSION,
+    index: str | None = None,
 ) -> DataFrame:
     """The items most similar to a text, embedded the same way as the items were."""
     words = items.sparkSession.createDataFrame([(text,)], "text string")
-    return similar(items, embed_text(words, "text", dimension, vector), k, item_id, vector)
-
-
-def _first_k(
-    queries: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best (query, item, score) triples per query; equal scores in the order of ids."""
-    order = np.lexsort((ids, -scores, queries))
-    queries, ids, scores = queries[order], ids[order], scores[order]
-    position = np.arange(len(queries)) - np.searchsorted(queries, queries, side="left")
-    keep = position < k
-    return queries[keep], ids[keep], scores[keep]
-
-
-def _rank_block(
-    queries: np.ndarray, ids: np.ndarray, vectors: np.ndarray, k: int
-) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The k best items of a block for every query.
-
-    Scores are rounded to 12 decimals: copies of a vector then tie whatever their place in the
-    block, and the id decides.
-    """
-    parts = []
-    step = max(256, SCORES_AT_ONCE // max(1, len(queries)))
-    for start in range(0, len(ids), step):
-        some = ids[start : start + step]
-        scores = np.round(queries @ vectors[start : start + step].T, 12)
-        if len(some) > k:
-            bar = np.partition(scores, len(some) - k, axis=1)[:, len(some) - k]
-            query, item = np.nonzero(scores >= bar[:, None])
-        else:
-            query, item = np.nonzero(np.ones(scores.shape, dtype=bool))
-        parts.append(_first_k(query, some[item], scores[query, item], k))
-    return _first_k(*[np.concatenate(column) for column in zip(*parts)], k)
+    query = embed_text(words, "text", dimension, vector)
+    return search(items, query, k, index, item_id=item_id, vector=vector)
 
 
-def _sortable(ids: np.ndarray) -> np.ndarray:
-    return ids.astype(str) if ids.dtype == object else ids
+def _named(df: DataFrame, row_id: str, vector: str, name: str) -> DataFrame:
+    rows = df.select(F.col(row_id).alias(name), F.col(vector).cast("array<double>").alias("vector"))
+    return rows.filter(usable(F.col("vector")))
 
 
 def similar_batch(
@@ -104,133 +88,222 @@ def similar_batch(
     item_id: str = "id",
     query_id: str = "query_id",
     vector: str = "embedding",
-    block: int = QUERY_BLOCK,
 ) -> DataFrame:
     """``query_id, item_id, score, rank``: the ``k`` most similar items for every query.
 
-    Queries are taken in blocks of about ``block``, whose vectors are shipped to the tasks; those
-    multiply whole Arrow batches and keep ``k`` items per query, so items are never shuffled. Each
-    block's matches are stored before the next is read. Items and queries without a vector are
-    left out.
+    Items are dealt to cells and stored, and each query meets the cells that may hold one of
+    its best. Scores that agree in 12 decimals are ordered by item. Items and queries whose
+    vector is null or holds null or non-finite entries are left out; all others have one length.
     """
-    named = queries.select(F.col(query_id).alias("query_id"), F.col(vector).alias("vector"))
-    named = named.filter(F.col("vector").isNotNull())
-    things = items.select(F.col(item_id).alias("item_id"), F.col(vector).alias("vector"))
-    things = things.filter(F.col("vector").isNotNull())
-    schema = (
-        f"query_id {named.schema['query_id'].dataType.simpleString()}, "
-        f"item_id {things.schema['item_id'].dataType.simpleString()}, score double"
-    )
-    blocks = max(1, math.ceil(named.count() / block))
-    place = F.pmod(F.xxhash64("query_id", "vector"), F.lit(blocks))
-    found = []
-    for number in range(blocks):
-        partial = _per_task(things, named.filter(place == number).toArrow(), k, schema)
-        best = top_per_group(partial, ["query_id"], [F.desc("score"), F.asc("item_id")], k)
-        found.append(best if blocks == 1 else materialise(best, "matches"))
-    return functools.reduce(DataFrame.union, found)
-
-
-def _matrix(vectors: pa.Array, rows: int) -> np.ndarray:
-    return vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, -1)
-
-
-def _one_array(column: pa.ChunkedArray) -> pa.Array:
-    made = column.combine_chunks()
-    return pa.concat_arrays(made.chunks) if isinstance(made, pa.ChunkedArray) else made
-
-
-def _per_task(items: DataFrame, queries: pa.Table, k: int, schema: str) -> DataFrame:
-    if not queries.num_rows:
-        return items.sparkSession.createDataFrame([], schema)
-    query_ids = _one_array(queries.column("query_id"))
-    matrix = _matrix(_one_array(queries.column("vector")), queries.num_rows)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            ids = _sortable(batch.column("item_id").to_numpy(zero_copy_only=False))
-            found = _rank_block(matrix, ids, _matrix(batch.column("vector"), len(ids)), k)
-            if best is not None:
-                found = _first_k(*[np.concatenate(pair) for pair in zip(best, found)], k)
-            best = found
-        if best is not None:
-            query, ids, scores = best
-            kind = batch.schema.field("item_id").type
-            yield pa.RecordBatch.from_arrays(
-                [query_ids.take(pa.array(query)), pa.array(ids, kind), pa.array(scores)],
-                names=["query_id", "item_id", "score"],
-            )
-
-    return items.mapInArrow(scan, schema)
+    spark = items.sparkSession
+    things = _named(items, item_id, vector, "item_id")
+    named = _named(queries, query_id, vector, "query_id")
+    sample = sample_of(things, "vector")
+    if not len(sample):
+        kinds = f"query_id {dict(named.dtypes)['query_id']}, item_id {dict(things.dtypes)['item_id']}"
+        return spark.createDataFrame([], f"{kinds}, score double, rank int")
+    rows = len(sample) if len(sample) < SAMPLE else things.count()
+    centres = centres_of(sample, cells_for(rows, spark.sparkContext.defaultParallelism))
+    dealt = materialise(assigned(things, "vector", centres), "cells")
+    found = join_by_cell(dealt, named, cells_of(centres, cell_sizes(dealt)), sample, k)
+    return found.select("query_id", "item_id", "score", "rank")
 
 
 def build_index(
     items: DataFrame,
     path: str,
-    cells: int = 16,
+    cells: int | None = None,
     vector: str = "embedding",
     seed: int = 42,
     iterations: int = 10,
 ) -> str:
-    """Write the items clustered into cells, one partition folder each, and the cell centres.
+    """Write the items in clusters, one partition folder each, with what bounds their scores.
 
-    The rebalance hint lets AQE split a cell that holds a large share of the items over several
-    files.
+    By default there are as many cells as the root of the number of items. Centres are fitted to
+    the items with the least hashes, ``FIT_ROWS`` per cell at most; all items are written. The
+    centres are stored with the radius and the number of items of each cell, and with a bounded
+    sample of the vectors. Items whose vector is null or holds null or non-finite entries are in
+    cell -1. The rebalance hint lets AQE split a large cell over several files.
     """
-    features = items.withColumn("_features", array_to_vector(F.col(vector).cast("array<double>")))
-    model = KMeans(
-        k=cells, seed=seed, maxIter=iterations, featuresCol="_features", predictionCol="cell"
-    ).fit(features)
-    (
-        model.transform(features)
-        .drop("_features")
-        .hint("rebalance", "cell")
-        .write.mode("overwrite")
-        .partitionBy("cell")
-        .parquet(f"{path}/items")
-    )
-    centres = [(i, [float(x) for x in c]) for i, c in enumerate(model.clusterCenters())]
     spark = items.sparkSession
-    spark.createDataFrame(centres, "cell int, centre array<double>").coalesce(1).write.mode(
-        "overwrite"
-    ).parquet(f"{path}/centres")
+    with_vector = items.filter(usable(F.col(vector)))
+    rows = with_vector.count()
+    cells = cells or max(1, math.isqrt(max(0, rows - 1)) + 1)
+    doubles = with_vector.withColumn(vector, F.col(vector).cast("array<double>"))
+    centres = np.zeros((0, 0))
+    if rows:
+        share = min(1.0, FIT_ROWS * cells / rows)
+        part = (F.pmod(F.xxhash64(vector), F.lit(1 << 20)) < math.ceil(share * (1 << 20))) | F.lit(share >= 1)
+        features = doubles.filter(part).select(array_to_vector(F.col(vector)).alias("_features"))
+        means = KMeans(k=cells, seed=seed, maxIter=iterations, featuresCol="_features", predictionCol="cell")
+        # a sample without a row, as of few distinct vectors, leaves one centre
+        fitted = features if share >= 1 or not features.isEmpty() else doubles.select(array_to_vector(F.col(vector)).alias("_features"))
+        centres = np.array([c for c in means.fit(fitted).clusterCenters()])
+    sample = sample_of(doubles, vector)
+    placed = assigned(with_vector, vector, centres) if rows else with_vector.select(F.lit(0).alias("cell"), F.lit(0.0).alias("_distance"), "*")
+    others = items.filter(~F.coalesce(usable(F.col(vector)), F.lit(False)))
+    others = others.select(F.lit(-1).alias("cell"), F.lit(0.0).alias("_distance"), "*")
+    placed.union(others).hint("rebalance", "cell").write.mode("overwrite").partitionBy("cell").parquet(f"{path}/items")
+    stored = _items(spark, path) if rows or not others.isEmpty() else placed
+    sizes = {row["cell"]: row for row in cell_sizes(stored).collect()}
+    made = [
+        (i, [float(x) for x in c], float(sizes[i]["radius"]) if i in sizes else 0.0, int(sizes[i]["rows"]) if i in sizes else 0)
+        for i, c in enumerate(centres)
+    ]
+    if -1 in sizes:
+        made.append((-1, None, None, int(sizes[-1]["rows"])))
+    kinds = "cell int, centre array<double>, radius double, rows long"
+    spark.createDataFrame(made, kinds).coalesce(1).write.mode("overwrite").parquet(f"{path}/centres")
+    vectors = [(v.tolist(),) for v in sample]
+    spark.createDataFrame(vectors, "vector array<double>").coalesce(1).write.mode("overwrite").parquet(f"{path}/sample")
     return path
 
 
+def _items(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/items")
+
+
+def _cells(spark: SparkSession, path: str) -> Cells:
+    """What the index knows of its cells; as few rows as cells."""
+    rows = sorted(spark.read.parquet(f"{path}/centres").filter("cell >= 0").collect(), key=lambda row: row["cell"])
+    return Cells(
+        np.array([row["centre"] for row in rows]) if rows else np.zeros((0, 0)),
+        np.array([row["radius"] for row in rows]),
+        np.array([row["rows"] for row in rows], np.int64),
+    )
+
+
 def nearest_cells(spark: SparkSession, path: str, query: DataFrame, probes: int, vector: str) -> list:
     """Ids of the ``probes`` cells whose centres score highest; the centres are as few as cells."""
-    centres = spark.read.parquet(f"{path}/centres")
+    centres = spark.read.parquet(f"{path}/centres").filter("cell >= 0")
     scored = _with_score(centres, "centre", query, vector)
     return [row["cell"] for row in top_n(scored, [F.desc("score"), F.asc("cell")], probes).collect()]
 
 
+def needed_cells(
+    spark: SparkSession, path: str, query: DataFrame, k: int, item_id: str, vector: str
+) -> list[int] | None:
+    """Cells that may hold one of the ``k`` best, the most promising first; None for all cells.
+
+    The cells of highest bound that have ``k`` items between them are searched for a floor under
+    the k-th best score; the others are needed only where their bound reaches it.
+    """
+    cells = _cells(spark, path)
+    found = query.select(F.col(vector).cast("array<double>").alias("vector")).filter(usable(F.col("vector"))).first()
+    if found is None or cells.rows.sum() < k:
+        return None
+    bounds = cells.bounds(np.array([found["vector"]]))[0]
+    order = np.argsort(-bounds, kind="stable")
+    first = order[: int(np.searchsorted(np.cumsum(cells.rows[order]), k)) + 1].tolist()
+    some = _items(spark, path).filter(F.col("cell").isin(first))
+    floor = similar(some, query, k, item_id, vector).agg(F.min(F.round("score", 12))).first()[0]
+    size = 1 + float(np.linalg.norm(found["vector"])) * float((np.linalg.norm(cells.centres, axis=1) + cells.radius).max())
+    return [int(cell) for cell in order if bounds[cell] >= floor - SLACK * size]
+
+
 def search_index(
     spark: SparkSession,
     path: str,
     query: DataFrame,
     k: int = 5,
-    probes: int = 8,
+    probes: int | None = None,
     item_id: str = "id",
     vector: str = "embedding",
 ) -> DataFrame:
-    """Top-k among the items of the probed cells; other cells are not read.
+    """Top-k through the index: exact, from the cells that may hold one of the best.
 
-    Probing all cells gives the exact result.
+    With ``probes``, only that many cells of highest centre score are read; the result is then
+    approximate (see :func:`recall_by_probes`). Items without a usable vector are ranked as
+    ``similar`` ranks them.
     """
-    cells = nearest_cells(spark, path, query, probes, vector)
-    candidates = spark.read.parquet(f"{path}/items").filter(F.col("cell").isin(cells))
+    if probes is None:
+        cells = needed_cells(spark, path, query, k, item_id, vector)
+    else:
+        cells = nearest_cells(spark, path, query, probes, vector)
+    items = _items(spark, path).drop("_distance")
+    candidates = items if cells is None else items.filter(F.col("cell").isin([-1, *cells]))
     return similar(candidates, query, k, item_id, vector)
 
 
+def search_index_batch(
+    spark: SparkSession,
+    path: str,
+    queries: DataFrame,
+    k: int = 5,
+    probes: int | None = None,
+    item_id: str = "id",
+    query_id: str = "query_id",
+    vector: str = "embedding",
+) -> DataFrame:
+    """``query_id, item_id, score, cell, rank`` for every query, through the stored index.
+
+    As :func:`similar_batch`, but the items have their cells already.
+    """
+    named = _named(queries, query_id, vector, "query_id")
+    items = _items(spark, path).filter("cell >= 0")
+    items = items.select("cell", F.col(item_id).alias("item_id"), F.col(vector).cast("array<double>").alias("vector"))
+    sample = sample_of(spark.read.parquet(f"{path}/sample"), "vector")
+    cells = _cells(spark, path)
+    return join_by_cell(items, named if len(cells.rows) else named.limit(0), cells, sample, k, probes)
+
+
+def cells_needed(spark: SparkSession, path: str, queries: DataFrame, k: int, vector: str = "embedding") -> DataFrame:
+    """``cells, needed, items, items_needed``: what exact search reads, summed over the queries."""
+    cells, sample = _cells(spark, path), sample_of(spark.read.parquet(f"{path}/sample"), "vector")
+    named = _named(queries.withColumn("_query", F.lit(0)), "_query", vector, "query_id")
+    pairs = named.mapInArrow(
+        query_kernel(cells, sample, k, None), "cell int, query_id int, vector array<double>, floor double"
+    )
+    rows = F.get(F.array(*[F.lit(int(n)) for n in cells.rows]), F.col("cell"))
+    asked = named.agg(F.count("*")).scalar()
+    return pairs.agg(
+        (asked * len(cells.rows)).alias("cells"),
+        F.count("*").alias("needed"),
+        (asked * int(cells.rows.sum())).alias("items"),
+        F.sum(rows).alias("items_needed"),
+    )
+
+
+def recall_by_probes(
+    spark: SparkSession,
+    path: str,
+    queries: DataFrame,
+    k: int = 5,
+    item_id: str = "id",
+    query_id: str = "query_id",
+    vector: str = "embedding",
+) -> DataFrame:
+    """``probes, recall``: share of the exact ``k`` best that this many cells would find.
+
+    One exact search of the batch: each item found needs as many probes as its cell's place
+    in the query's order of centres.
+    """
+    cells = _cells(spark, path)
+    exact = search_index_batch(spark, path, queries, k, None, item_id, query_id, vector)
+
+    def order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                places = np.argsort(cells.nearest(matrix(batch.column("vector"))), axis=1) + 1
+                ends = pa.array(np.arange(len(places) + 1, dtype=np.int32) * places.shape[1])
+                places = pa.ListArray.from_arrays(ends, pa.array(places.astype(np.int32).ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column("query_id"), places], ["asked", "places"])
+
+    named = _named(queries, query_id, vector, "query_id")
+    places = named.mapInArrow(order, f"asked {dict(named.dtypes)['query_id']}, places array<int>")
+    needed = exact.join(places, exact["query_id"].eqNullSafe(places["asked"]))
+    counts = needed.groupBy(F.get("places", F.col("cell")).alias("probes")).agg(F.count("*").alias("n"))
+    # as few rows as cells
+    so_far = F.sum("n").over(Window.orderBy("probes")) / F.sum("n").over(Window.partitionBy())
+    return counts.select("probes", so_far.alias("recall"))
+
+
 def search(
     items: DataFrame,
     query: DataFrame,
     k: int = 5,
     index: str | None = None,
-    probes: int = 8,
+    probes: int | None = None,
     item_id: str = "id",
     vector: str = "embedding",
 ) -> DataFrame:

@@ -46,7 +46,7 @@ def run_sensor_pipeline(
     query: str = "drought stress in corn fields",
     history: DataFrame | None = None,
     dimension: int = DIMENSION,
-    cells: int = 16,
+    cells: int | None = None,
 ) -> SensorRun:
     """Generate, gate and load readings, embed and index them, search, and forecast.
 
@@ -63,7 +63,9 @@ def run_sensor_pipeline(
     run.embeddings_path = embed_readings(stored, f"{root}/embeddings", dimension)
     embedded = read_parquet(spark, run.embeddings_path)
     run.index_path = build_index(embedded, f"{root}/index", cells)
-    run.matches = search_text(embedded, query, 3, "timestamp", dimension=dimension)
+    run.matches = search_text(
+        embedded, query, 3, "timestamp", dimension=dimension, index=run.index_path
+    )
     if history is not None:
         series = [c for c in history.columns if c not in ("timestamp", "yield")]
         run.forecasts = forecast(history, series)

@@ -23,7 +23,7 @@ def test_same_rows_as_sql(spark, sf_dir, connection, name):
 
 def test_every_oracle_has_a_query():
     assert set(ORACLES) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLES) == {"ivf_topk"}
+    assert set(QUERIES) - set(ORACLES) == {"ivf_recall"}
 
 
 def test_entry_gives_rows(spark):

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlake.operators import embeddings, search
+from fieldlake.operators import cells, embeddings, search
 from fieldlake.operators.serialise import (
     JSON_FIELDS,
     row_json,
@@ -44,10 +44,13 @@ def test_exact_search(items, vectors, plan_of):
     assert "TakeOrderedAndProject" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-@pytest.mark.parametrize("block", [search.QUERY_BLOCK, 3])
-def test_batch_search_in_blocks(items, vectors, block):
+@pytest.mark.parametrize("sizes", [{}, {"CELL_ROWS": 40, "LEAST_ROWS": 10}, {"SAMPLE": 30, "LEAST_ROWS": 10}])
+def test_batch_search_by_cell(items, vectors, sizes, monkeypatch):
+    for name, value in sizes.items():
+        monkeypatch.setattr(cells, name, value)
     queries = items.filter("id % 20 = 0").select(F.col("id").alias("query_id"), "embedding")
-    found = search.similar_batch(items, queries, 6, block=block).collect()
+    found = search.similar_batch(items, queries, 6).collect()
+    assert len(found) == 60
     for query in range(0, 200, 20):
         rows = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
         want = expected(vectors, vectors[query], 6)
@@ -55,6 +58,84 @@ def test_batch_search_in_blocks(items, vectors, block):
         assert [r["score"] for r in rows] == pytest.approx([s for _, s in want])
 
 
+def test_many_queries_few_items(spark, items, vectors, plan_of):
+    """More queries than an array in the closure should hold; items are shuffled once."""
+    copies = items.select("id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("copy"))
+    queries = copies.select((F.col("id") * 100 + F.col("copy")).alias("query_id"), "embedding")
+    found = search.similar_batch(items, queries, 3)
+    assert plan_of(found).count("REPARTITION_BY_NUM") == plan_of(queries).count("REPARTITION_BY_NUM") + 1
+    assert found.count() == 60_000
+    counts = found.filter("rank = 1").groupBy("item_id").count().collect()
+    best = {i: expected(vectors, vectors[i], 1)[0][0] for i in range(200)}
+    assert {r["item_id"]: r["count"] for r in counts} == {i: 100 * list(best.values()).count(i) for i in set(best.values())}
+
+
+def clustered(spark, groups=30, each=40):
+    """Tight clusters far from each other, one of them holding a third of the items."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(groups, 16)) * 10
+    sizes = [each] * (groups - 1) + [groups * each // 2]
+    made = np.concatenate([c + rng.normal(size=(n, 16)) * 0.05 for c, n in zip(centres, sizes)])
+    rows = [(i, v.tolist()) for i, v in enumerate(made)]
+    return made, spark.createDataFrame(rows, "id int, embedding array<double>")
+
+
+def test_index_reads_the_cells_it_needs(spark, tmp_path, plan_of):
+    made, items = clustered(spark)
+    path = search.build_index(items, str(tmp_path / "index"))
+    centres = spark.read.parquet(f"{path}/centres")
+    assert centres.count() == 42 and centres.agg(F.sum("rows")).first()[0] == len(made) == 1760
+    for item in (5, 700, 1500):
+        query = items.filter(F.col("id") == item).select("embedding")
+        needed = search.needed_cells(spark, path, query, 10, "id", "embedding")
+        assert 1 <= len(needed) < 21
+        found = search.search_index(spark, path, query, 10)
+        assert "PartitionFilters: [cell" in plan_of(found)
+        assert [r["id"] for r in found.collect()] == [i for i, _ in expected(made, made[item], 10)]
+    queries = items.filter("id % 50 = 0").select(F.col("id").alias("query_id"), "embedding")
+    found = search.search_index_batch(spark, path, queries, 10).collect()
+    for query in range(0, 1760, 50):
+        rows = sorted((r for r in found if r["query_id"] == query), key=lambda r: r["rank"])
+        assert [r["item_id"] for r in rows] == [i for i, _ in expected(made, made[query], 10)]
+    read = search.cells_needed(spark, path, queries, 10).first()
+    assert read["cells"] == 36 * 42 and read["items"] == 36 * 1760
+    assert read["needed"] < read["cells"] / 2 and read["items_needed"] < read["items"]
+    recalls = {r["probes"]: r["recall"] for r in search.recall_by_probes(spark, path, queries, 10).collect()}
+    assert max(recalls.values()) == 1.0 and list(recalls.values()) == sorted(recalls.values())
+    enough = min(p for p, share in recalls.items() if share >= 0.9)
+    some = search.search_index_batch(spark, path, queries, 10, probes=enough)
+    hits = {(r["query_id"], r["item_id"]) for r in some.collect()} & {(r["query_id"], r["item_id"]) for r in found}
+    assert len(hits) / len(found) == pytest.approx(recalls[enough])
+
+
+def test_index_with_vectors_missing(spark, tmp_path):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [0.5, None]), (4, [0.0, 1.0]), (5, [-1.0, 0.0]), (6, [float("nan"), 1.0]), (None, [0.9, 0.1])]
+    items = spark.createDataFrame(rows, "id int, embedding array<double>")
+    path = search.build_index(items, str(tmp_path / "index"), cells=2)
+    query = spark.createDataFrame([([1.0, 0.0],)], "embedding array<double>")
+    for k in (1, 2, 5, 9):
+        exact = [r["id"] for r in search.similar(items, query, k).collect()]
+        assert [r["id"] for r in search.search_index(spark, path, query, k).collect()] == exact
+    none = spark.createDataFrame([(None,)], "embedding array<double>")
+    assert search.search_index(spark, path, none, 3).count() == 3
+    queries = spark.createDataFrame([(None, [1.0, 0.0]), (7, None)], "query_id int, embedding array<double>")
+    found = search.search_index_batch(spark, path, queries, 9).orderBy("rank").collect()
+    assert [(r["query_id"], r["item_id"]) for r in found] == [(None, 1), (None, None), (None, 4), (None, 5)]
+
+
+def test_index_of_copies_and_of_nothing(spark, tmp_path):
+    copies = spark.createDataFrame([(i, [1.0, 2.0]) for i in range(30)], "id int, embedding array<double>")
+    path = search.build_index(copies, str(tmp_path / "copies"))
+    query = copies.filter("id = 3").select("embedding")
+    assert [r["id"] for r in search.search_index(spark, path, query, 4).collect()] == [0, 1, 2, 3]
+    path = search.build_index(copies.limit(0), str(tmp_path / "none"))
+    assert search.search(copies.limit(0), query, 4, path).count() == 0
+    path = search.build_index(copies.selectExpr("id", "cast(null AS array<double>) AS embedding"), str(tmp_path / "nulls"))
+    assert search.search_index(spark, path, query, 4).count() == 4
+    queries = query.withColumn("query_id", F.lit(1))
+    assert search.search_index_batch(spark, path, queries, 4).count() == 0
+
+
 def test_batch_with_text_ids_and_missing_vectors(spark):
     items = spark.createDataFrame(
         [("a", [1.0, 0.0]), ("b", [0.0, 1.0]), ("c", None)], "id string, embedding array<double>"

@@ -7,7 +7,15 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions.text import TOKEN
 from fieldlake.operators.embeddings import embed_text
-from fieldlake.operators.search import build_index, search_index, search_text, similar, similar_batch
+from fieldlake.operators.search import (
+    build_index,
+    recall_by_probes,
+    search_index,
+    search_index_batch,
+    search_text,
+    similar,
+    similar_batch,
+)
 from fieldlake.session import scratch_path
 from workload.registry import query
 from workload.views import table
@@ -96,21 +104,51 @@ def text_embedding_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scored(found, "doc_id")
 
 
-@query()
+_NEAREST = f"""SELECT vec_id, "label", round(s, 6) AS score FROM (
+      SELECT vec_id, "label", list_dot_product(embedding::DOUBLE[],
+        (SELECT arg_min(embedding, vec_id) FROM embeddings)::DOUBLE[]) AS s FROM embeddings)
+    ORDER BY round(s, 12) DESC, vec_id LIMIT {TOP}"""
+
+
+@query(_NEAREST)
 def ivf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Through the clustered index, half of its cells probed; approximate, so without SQL."""
+    """Through the clustered index, from the cells that may hold one of the nearest."""
     items = table(spark, sf_dir, "embeddings")
-    path = build_index(items, scratch_path(spark, "index"), cells=16)
-    found = search_index(spark, path, _first_vector(items), TOP, 8, "vec_id")
+    path = build_index(items, scratch_path(spark, "index"))
+    found = search_index(spark, path, _first_vector(items), TOP, item_id="vec_id")
     return _scored(found, "vec_id", "label")
 
 
+def _asking(items: DataFrame) -> DataFrame:
+    return items.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+
+
 @query(
-    f"""SELECT vec_id, "label", round(s, 6) AS score FROM (
-      SELECT vec_id, "label", list_dot_product(embedding::DOUBLE[],
-        (SELECT arg_min(embedding, vec_id) FROM embeddings)::DOUBLE[]) AS s FROM embeddings)
-    ORDER BY round(s, 12) DESC, vec_id LIMIT {TOP}"""
+    f"""WITH s AS (SELECT q.vec_id AS query_id, i.vec_id AS item_id,
+                 list_dot_product(i.embedding::DOUBLE[], q.embedding::DOUBLE[]) AS s
+                 FROM embeddings i JOIN embeddings q ON q.vec_id % 50 = 0)
+    SELECT query_id, item_id, round(s, 6) AS score, CAST(r AS INTEGER) AS "rank" FROM (
+      SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(s, 12) DESC, item_id) AS r
+      FROM s) WHERE r <= {TOP}"""
 )
+def ivf_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch of queries through the clustered index, each in the cells it needs."""
+    items = table(spark, sf_dir, "embeddings")
+    path = build_index(items, scratch_path(spark, "index"))
+    found = search_index_batch(spark, path, _asking(items), TOP, item_id="vec_id")
+    return _scored(found, "query_id", "item_id", "rank")
+
+
+@query()
+def ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recall by the number of cells probed; it depends on the clusters, so without SQL."""
+    items = table(spark, sf_dir, "embeddings")
+    path = build_index(items, scratch_path(spark, "index"))
+    found = recall_by_probes(spark, path, _asking(items), TOP, item_id="vec_id")
+    return found.select("probes", F.round("recall", 6).alias("recall"))
+
+
+@query(_NEAREST)
 def ivf_all_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Through the clustered index with all cells probed, which is the exact result."""
     items = table(spark, sf_dir, "embeddings")
