@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from fieldlake.functions.identity import deterministic_score, grid_field_id
 from fieldlake.functions.numeric import row_mean, to_double
 from fieldlake.functions.temporal import parse_timestamp, second_text, start_of_year
+from fieldlake.operators.ranges import dense_ids
 from fieldlake.schema import DEFAULT_TEMPERATURE, REAL_SCENARIO, SOIL_COLUMNS
 
 # Column names found in soil tables, in order of preference.
@@ -102,8 +103,8 @@ def with_missing_columns(df: DataFrame, defaults: dict[str, Column]) -> DataFram
 
 
 def with_row_id(df: DataFrame, out: str = "field_id") -> DataFrame:
-    """A unique id per row. Not dense: a dense one would need a pass over all rows."""
-    return df.withColumn(out, F.monotonically_increasing_id().cast("string"))
+    """A dense id per row that depends on the rows only. Eager: the numbered rows are stored."""
+    return dense_ids(df, "_row").withColumn(out, F.col("_row").cast("string")).drop("_row")
 
 
 def with_field_id(df: DataFrame, replace: bool = False) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,50 +27,6 @@ def sorted_union(*arrays: Column) -> Column:
     return F.array_sort(F.array_distinct(F.concat(*arrays)))
 
 
-def with_range_bucket(df: DataFrame, column: str, buckets: int, out: str) -> DataFrame:
-    """Add the number of the value range a row falls into, 0 for NULL.
-
-    The cuts are approximate quantiles, found once and used as constants: they balance the
-    buckets, and whatever they are, buckets are ordered as the values. A value that fills a large
-    share of the table takes up many quantiles but stays in one bucket.
-    """
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = df.agg(F.percentile_approx(column, shares, 10_000).alias("cuts")).scalar()
-    placed = df.withColumn("_cuts", cuts)
-    bucket = F.size(F.filter("_cuts", lambda cut: cut < F.col(column)))
-    return placed.withColumn(out, F.greatest(bucket, F.lit(0))).drop("_cuts")
-
-
-def number_within(
-    df: DataFrame, group: list[str], order: str | list[str], out: str, buckets: int = 64
-) -> DataFrame:
-    """0-based position of every row within its group, by a numeric or time column.
-
-    More columns after the first one break ties; together with the group they should be a key,
-    or equal rows are numbered in any order.
-
-    A group may hold most of the table: rows are numbered within (group, range of ``order``) and
-    shifted by the group's counts in earlier ranges, so a large group is shared by many tasks.
-    """
-    keys = [order] if isinstance(order, str) else order
-    placed = with_range_bucket(df, keys[0], buckets, "_bucket")
-    inside = Window.partitionBy(*group, "_bucket").orderBy(*keys)
-    before = Window.partitionBy(*group).orderBy("_bucket")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    # At most ``buckets`` rows per group.
-    counts = placed.groupBy(*group, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    keys = [*group, "_bucket"]
-    shifts = counts.select(
-        *[F.col(name).alias(f"_of_{name}") for name in keys],
-        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"),
-    )
-    numbered = placed.withColumn(out, F.row_number().over(inside) - 1)
-    # Null-safe, because a NULL key is a group as well.
-    same = [F.col(name).eqNullSafe(F.col(f"_of_{name}")) for name in keys]
-    joined = numbered.join(shifts, functools.reduce(Column.__and__, same))
-    return joined.select(*df.columns, (F.col(out) + F.col("_shift")).alias(out))
-
-
 def top_per_group(
     df: DataFrame, group: list[str], order: list[Column], k: int, rank: str = "rank"
 ) -> DataFrame:

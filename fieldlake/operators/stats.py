@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from fieldlake.functions.numeric import to_double
 from fieldlake.operators.mapping import first_present
-from fieldlake.operators.rows import with_range_bucket
+from fieldlake.operators.ranges import running_totals
 
 # Fixed value: names a yield column goes by, in order of preference.
 TARGETS = ["yield", "crop_yield", "YIELD", "Yield"]
@@ -195,19 +195,11 @@ def attributions(
     return explained.withColumn("prediction", total).drop("_model")
 
 
-def ks_test(
-    first: DataFrame,
-    second: DataFrame,
-    column: str,
-    other: str | None = None,
-    buckets: int = 256,
-) -> DataFrame:
+def ks_test(first: DataFrame, second: DataFrame, column: str, other: str | None = None) -> DataFrame:
     """``d, p_value, n1, n2`` of the two-sample Kolmogorov-Smirnov test, two-sided.
 
-    Values are counted first, so repeated ones cost nothing downstream. Distinct values are then
-    cut into ranges at approximate quantiles; running counts are taken within each range and
-    shifted by the totals of the ranges before it. No task sees more than about one range.
-    The quantiles only balance the work: any cut gives the same result.
+    Values are counted first, so repeated ones cost nothing downstream. The distinct values get
+    running counts of both sides over stored ranges. Eager up to those.
 
     The p-value is the asymptotic one at every size; for samples of a few dozen values it differs
     from an exact one in the second or third decimal. An empty side gives p = 0.
@@ -220,32 +212,12 @@ def ks_test(
     counts = pooled.dropna(subset=["x"]).groupBy("x").agg(
         F.sum("a").alias("a"), F.sum("b").alias("b")
     )
-    placed = with_range_bucket(counts, "x", buckets, "bucket")
-    inside = Window.partitionBy("bucket").orderBy("x")
-    running = placed.select(
-        "bucket", F.sum("a").over(inside).alias("a"), F.sum("b").over(inside).alias("b")
-    )
-    # At most ``buckets`` rows from here to the join.
-    before = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
-    offsets = (
-        placed.groupBy("bucket")
-        .agg(F.sum("a").alias("sa"), F.sum("b").alias("sb"))
-        .select(
-            F.col("bucket").alias("of"),
-            F.coalesce(F.sum("sa").over(before), F.lit(0)).alias("oa"),
-            F.coalesce(F.sum("sb").over(before), F.lit(0)).alias("ob"),
-            F.sum("sa").over(everything).alias("n1"),
-            F.sum("sb").over(everything).alias("n2"),
-        )
-    )
-    gap = F.abs((F.col("a") + F.col("oa")) / F.col("n1") - (F.col("b") + F.col("ob")) / F.col("n2"))
-    both = (F.col("n1") > 0) & (F.col("n2") > 0)
-    same = F.col("bucket").eqNullSafe(F.col("of"))
-    found = running.join(F.broadcast(offsets), same).agg(
-        F.max(F.when(both, gap)).alias("d"),
-        F.coalesce(F.max("n1"), F.lit(0)).alias("n1"),
-        F.coalesce(F.max("n2"), F.lit(0)).alias("n2"),
+    running = running_totals(counts, [], [F.col("x")], {"to_a": F.col("a"), "to_b": F.col("b")})
+    sizes = running.agg(F.max("to_a").alias("n1"), F.max("to_b").alias("n2")).first()
+    n1, n2 = sizes["n1"] or 0, sizes["n2"] or 0
+    gap = F.abs(F.col("to_a") / F.lit(n1) - F.col("to_b") / F.lit(n2)) if n1 and n2 else F.lit(None).cast("double")
+    found = running.agg(F.max(gap).alias("d")).withColumns(
+        {"n1": F.lit(n1).cast("long"), "n2": F.lit(n2).cast("long")}
     )
     effective = F.col("n1") * F.col("n2") / (F.col("n1") + F.col("n2"))
     p_value = kolmogorov_tail(F.sqrt(effective) * F.col("d"))

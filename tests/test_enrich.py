@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from fieldlake.operators import aggregates, enrich, rows, stats
+from fieldlake.operators import aggregates, enrich, mapping, ranges, rows, stats
 from fieldlake.plans.integration import INTEGRATED, integrate, integrate_local, merge_datasets
 from fieldlake.sources.grids import moisture_grid
 
@@ -204,14 +204,45 @@ def test_aggregate_helpers(spark):
     assert flags["any"] and not flags["all"]
 
 
-@pytest.mark.parametrize("buckets", [1, 7, 64])
-def test_positions_in_a_dominant_group(spark, buckets):
+@pytest.mark.parametrize("size", [1_000_000, 70, 8])
+def test_positions_in_a_dominant_group(spark, size, monkeypatch):
+    monkeypatch.setattr(ranges, "RANGE_ROWS", size)
     df = spark.range(500).select(
         F.when(F.col("id") % 10 < 7, "hot").when(F.col("id") % 10 < 9, F.col("id").cast("string"))
         .alias("g"),
         (F.col("id") * 37 % 500).alias("o"),
     ).withColumn("o", F.when(F.col("o") != 3, F.col("o")))
-    out = rows.number_within(df, ["g"], "o", "position", buckets).collect()
+    out = ranges.number_within(df, ["g"], "o", "position").collect()
     for group in {r["g"] for r in out}:
         own = sorted((r for r in out if r["g"] == group), key=lambda r: -1 if r["o"] is None else r["o"])
         assert [r["position"] for r in own] == list(range(len(own)))
+
+
+@pytest.mark.parametrize("size", [1_000_000, 40, 3])
+def test_positions_of_equal_values(spark, size, monkeypatch):
+    """One value fills most ranges; rows equal in the order come in one order at any cut."""
+    monkeypatch.setattr(ranges, "RANGE_ROWS", size)
+    df = spark.range(300).select("id", F.lit(None).cast("string").alias("g"), (F.col("id") % 10 == 9).cast("int").alias("o"))
+    out = {r["id"]: r["position"] for r in ranges.number_within(df.repartition(3), ["g"], "o", "position").collect()}
+    assert sorted(out.values()) == list(range(300))
+    assert all(out[i] < 270 for i in range(300) if i % 10 < 9)
+    assert out == {r["id"]: r["position"] for r in ranges.number_within(df.repartition(7), ["g"], "o", "position").collect()}
+
+
+def test_dense_ids_do_not_depend_on_partitions(spark, monkeypatch):
+    rows = [(i % 50, f"n{i % 50}", None if i % 3 else 0.5, [i % 2], {"k": i % 2}) for i in range(200)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d array<int>, e map<string,int>")
+    seen = []
+    for parts, size in ((1, 1_000_000), (4, 13), (13, 90)):
+        monkeypatch.setattr(ranges, "RANGE_ROWS", size)
+        out = mapping.with_row_id(df.repartition(parts), "row").collect()
+        assert sorted(int(r["row"]) for r in out) == list(range(200))
+        seen.append(sorted((int(r["row"]), str(r.asDict() | {"row": 0})) for r in out))
+    assert seen[0] == seen[1] == seen[2]
+    assert mapping.with_row_id(df.limit(0)).count() == 0
+
+
+def test_running_totals_read_the_source_twice(spark, tmp_path, plan_of):
+    spark.range(1000).write.parquet(str(tmp_path / "t"))
+    plan = plan_of(ranges.number_within(spark.read.parquet(str(tmp_path / "t")), [], "id", "n"))
+    assert str(tmp_path / "t") not in plan and "Window " in plan and "SortMergeJoin" not in plan

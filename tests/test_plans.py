@@ -2,12 +2,12 @@
 
 import pytest
 
-from fieldlake.operators.quality import gate
+from fieldlake.operators.quality import gate, keep_category
 from fieldlake.plans.sensors import run_stress_test
 from fieldlake.sinks.writers import _by_day
 from fieldlake.sources.tables import read_table
 from workload import QUERIES
-from workload.views import sensors
+from workload.views import sensors, table
 
 # The only queries with Arrow kernels; everything else stays in the JVM.
 WITH_PYTHON = {
@@ -16,6 +16,8 @@ WITH_PYTHON = {
     "text_embedding_topk",
     "vector_topk_batch",
     "vector_self_topk",
+    "ivf_pruned",
+    "ivf_recall",
 }
 
 
@@ -34,8 +36,8 @@ def test_scans_read_the_needed_columns_only(spark, sf_dir, plan_of):
 
 
 def test_filters_reach_the_scan(spark, sf_dir, plan_of):
-    plan = plan_of(QUERIES["ks_two_sample"](spark, sf_dir))
-    assert "EqualTo(event_type,click)" in plan and "EqualTo(event_type,view)" in plan
+    plan = plan_of(keep_category(table(spark, sf_dir, "events"), "event_type", "click").select("value"))
+    assert "EqualTo(event_type,click)" in plan and "ReadSchema: struct<event_type:string,value:double>" in plan
 
 
 def test_means_combine_before_the_shuffle(spark, sf_dir, plan_of):

@@ -10,7 +10,9 @@ from fieldlake.functions.numeric import binary_to_long
 from fieldlake.functions.temporal import epoch_seconds, floor_window, iso_text, parse_timestamp
 from fieldlake.functions.text import title_words
 from fieldlake.operators import aggregates, quality
-from fieldlake.operators.rows import distinct_rows, number_within, top_n, union_by_name
+from fieldlake.operators.mapping import with_row_id
+from fieldlake.operators.ranges import number_within
+from fieldlake.operators.rows import distinct_rows, top_n, union_by_name
 from fieldlake.operators.serialise import JSON_FIELDS, row_json, with_prompt, with_recommendation
 from fieldlake.schema import RANGES
 from fieldlake.session import scratch_path, use_utc
@@ -476,3 +478,19 @@ def position_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.unix_date(F.to_date("o_orderdate"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority", days.alias("day"))
     return number_within(orders, ["o_orderpriority"], ["day", "o_orderkey"], "position").select("o_orderkey", "position")
+
+
+@query(
+    """WITH records AS (SELECT l_orderkey, l_linenumber, l_returnflag, l_shipdate, concat(
+           len(l_orderkey::VARCHAR), ':', l_orderkey::VARCHAR, len(l_linenumber::VARCHAR), ':', l_linenumber::VARCHAR,
+           coalesce(len(l_returnflag) || ':' || l_returnflag, '-'),
+           '19:', strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')) AS written FROM
+           (SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'A') AS l_returnflag, l_shipdate FROM lineitem))
+       SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY md5(written)) - 1 AS VARCHAR) AS field_id FROM records"""
+)
+def row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense ids of records without coordinates, whatever the files and partitions."""
+    records = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.expr("nullif(l_returnflag, 'A')").alias("l_returnflag"), "l_shipdate"
+    )
+    return with_row_id(records).select("l_orderkey", "l_linenumber", "field_id")
