@@ -16,6 +16,7 @@ WITH_PYTHON = {
     "text_embedding_topk",
     "vector_topk_batch",
     "vector_self_topk",
+    "soil_files_round_trip",
     "ivf_pruned",
     "ivf_recall",
 }

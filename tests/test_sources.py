@@ -48,6 +48,58 @@ def test_curated_files_only(spark, soil_root):
     assert soil_files.read_curated_soil_files(spark, str(soil_root)).table.count() == 3
 
 
+def test_quotes_line_breaks_and_repeated_headers(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('\n\nYear,Note,year, \n1999,"x, ""y""",7,8\nYear,Note,year, \n\n2000,"",,\n', encoding="utf-8")
+    (tmp_path / "b.csv").write_bytes('note,YEAR\n"two\nlines, é",2001\nshort\n'.encode("latin1"))
+    (tmp_path / "c.csv").write_text('N,Note\n1,"multi\n""line"" é",beyond\n2,plain\n', encoding="utf-8")
+    rows = soil_files.read_csv_files(spark, str(tmp_path)).table
+    assert rows.columns == ["Year", "Note", "year.1", "_c3", "N"]
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+        [
+            ("1999", 'x, "y"', "7", "8", None),
+            ("Year", "Note", "year", " ", None),
+            ("2000", None, None, None, None),
+            ("2001", "two\nlines, é", None, None, None),
+            (None, "short", None, None, None),
+            (None, 'multi\n"line" é', None, None, "1"),
+            (None, "plain", None, None, "2"),
+        ],
+        key=str,
+    )
+
+
+def test_plan_does_not_grow_with_files_and_headers(spark, tmp_path, plan_of):
+    sizes = []
+    for number, (files, headers) in enumerate([(12, 3), (600, 60)]):
+        root = tmp_path / f"r{number}"
+        root.mkdir()
+        for i in range(files):
+            names = [f"c{(i % headers + j) % 5}" for j in range(1 + i % headers % 5)] + ["Year"] * (i % 2)
+            names.append("lat" if i % 2 else "Year")
+            text = ",".join(names) + ("\r\n" if i % 3 else "\n") + ",".join(str(i) for _ in names) + "\n"
+            (root / f"f{i}.csv").write_text(text)
+        table = soil_files.read_csv_files(spark, str(root)).table
+        assert table.count() == files
+        assert {r["Year"] for r in table.select("Year").collect()} == {str(i) for i in range(files)}
+        sizes.append(plan_of(table).count("Scan"))
+    assert sizes[0] == sizes[1]
+
+
+def test_parquet_kinds_share_scans(spark, tmp_path, plan_of, monkeypatch):
+    for i in range(8):
+        pd.DataFrame({"lat": [i if i % 2 else i + 0.5], f"extra{i % 3}": ["e"]}).to_parquet(tmp_path / f"f{i}.parquet")
+    found = soil_files.read_parquet_files(spark, str(tmp_path))
+    rows = {r["lat"]: [r[f"extra{j}"] for j in range(3)] for r in found.table.collect()}
+    assert set(rows) == {"0.5", "1", "2.5", "3", "4.5", "5", "6.5", "7"}
+    assert rows["7"] == [None, "e", None] and found.skipped.count() == 0
+    assert plan_of(found.table).count("Location:") == 2  # lat is a long or a double
+    (tmp_path / "damaged.parquet").write_bytes(b"not parquet at all")
+    monkeypatch.setattr(soil_files, "FOOTER_BYTES", 10)
+    again = soil_files.read_parquet_files(spark, str(tmp_path))
+    assert {r["lat"]: [r[f"extra{j}"] for j in range(3)] for r in again.table.collect()} == rows
+    assert [r["path"].rsplit("/", 1)[1] for r in again.skipped.collect()] == ["damaged.parquet"]
+
+
 def test_no_usable_file_is_an_error(spark, tmp_path):
     (tmp_path / "empty.csv").write_text("")
     with pytest.raises(FileNotFoundError):
