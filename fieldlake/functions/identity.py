@@ -21,7 +21,7 @@ def deterministic_score(*parts: Column, seed: int = SEED) -> Column:
     """
     digest = F.sha2(F.concat(F.lit(str(seed)), *[p.cast("string") for p in parts]), 256)
     number = F.conv(F.substring(digest, 1, 16), 16, 10)
-    return F.right(number, F.lit(7)).cast("int") / F.lit(1e7)
+    return F.substring(number, -7, 7).cast("int") / F.lit(1e7)
 
 
 def grid_field_id(lat: Column, lon: Column, precision: int = 3) -> Column:

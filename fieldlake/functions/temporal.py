@@ -24,8 +24,8 @@ def floor_window(ts: Column, seconds: int = QUARTER_HOUR) -> Column:
 
 def _fraction(ts: Column) -> Column:
     """``.123456`` where a time has a fraction of a second, else nothing."""
-    micros = F.date_format(ts, "SSSSSS")
-    return F.when(micros == "000000", "").otherwise(F.concat(F.lit("."), micros))
+    micros = F.pmod(F.unix_micros(ts), F.lit(1_000_000))
+    return F.when(micros == 0, "").otherwise(F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
 
 
 def iso_text(ts: Column) -> Column:
@@ -39,17 +39,20 @@ def second_text(ts: Column) -> Column:
     return F.coalesce(F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), _fraction(ts)), F.lit("NaT"))
 
 
-#: Written dates that Spark's own parser does not take, in the order in which they are tried.
-#: With slashes the month comes first, unless the year does.
+_CLOCK = r"( [0-9]+:[0-9]+(:[0-9]+)?)?$"
+_YEAR = r"[+-]?[0-9]{4,}"
+
+#: Written dates that Spark's own parser does not take, each with the look of the texts that its
+#: parser takes; no text has two. With slashes the month comes first, unless the year does.
 DATE_PATTERNS = (
-    "yyyy/M/d[ H:m[:s]]",
-    "M/d/yyyy[ H:m[:s]]",
-    "d.M.yyyy[ H:m[:s]]",
-    "d MMM yyyy[ H:m[:s]]",
-    "d MMMM yyyy[ H:m[:s]]",
-    "d-MMM-yyyy[ H:m[:s]]",
-    "MMM d, yyyy[ H:m[:s]]",
-    "MMMM d, yyyy[ H:m[:s]]",
+    ("yyyy/M/d[ H:m[:s]]", f"^{_YEAR}/[0-9]+/[0-9]+"),
+    ("M/d/yyyy[ H:m[:s]]", f"^[0-9]{{1,3}}/[0-9]+/{_YEAR}"),
+    ("d.M.yyyy[ H:m[:s]]", f"^[0-9]+[.][0-9]+[.]{_YEAR}"),
+    ("d MMM yyyy[ H:m[:s]]", f"^[0-9]+ [A-Za-z]{{3}} {_YEAR}"),
+    ("d MMMM yyyy[ H:m[:s]]", f"^[0-9]+ [A-Za-z]{{4,}} {_YEAR}"),
+    ("d-MMM-yyyy[ H:m[:s]]", f"^[0-9]+-[A-Za-z]{{3}}-{_YEAR}"),
+    ("MMM d, yyyy[ H:m[:s]]", f"^[A-Za-z]{{3}} [0-9]+, {_YEAR}"),
+    ("MMMM d, yyyy[ H:m[:s]]", f"^[A-Za-z]{{4,}} [0-9]+, {_YEAR}"),
 )
 
 
@@ -57,17 +60,21 @@ def parse_timestamp(column: Column) -> Column:
     """Timestamp of loosely formatted text.
 
     A bare four-digit number (``1998`` or ``1998.0``) is a year and means its first day; eight
-    digits are ``yyyyMMdd``. Anything else goes through Spark's own parser, then through
-    ``DATE_PATTERNS``; the first that takes it counts. What all reject becomes NULL, and so do
-    other numbers of five and more digits, which would be taken for far-off years.
+    digits are ``yyyyMMdd``. Anything else goes through Spark's own parser, then through the one
+    of ``DATE_PATTERNS`` whose look it has; a parser that fails is dear, so no other is tried.
+    What all reject becomes NULL, and so do other numbers of five and more digits, which would be
+    taken for far-off years.
     """
     text = F.trim(column.cast("string"))
     year = F.regexp_extract(text, r"^([0-9]{4})(?:\.0*)?$", 1)
     first_day = F.make_date(year.try_cast("int"), F.lit(1), F.lit(1)).cast("timestamp")
-    compact = F.when(text.rlike("^[0-9]{8}$"), F.try_to_timestamp(text, F.lit("yyyyMMdd")))
-    written = F.regexp_replace(text, r"^[+-]?[0-9]{5,}.*", "")
-    patterns = [F.try_to_timestamp(written, F.lit(pattern)) for pattern in DATE_PATTERNS]
-    return F.coalesce(first_day, compact, written.try_cast("timestamp"), *patterns)
+    looks = F.when(text.rlike("^[0-9]{8}$"), F.lit("yyyyMMdd"))
+    for pattern, look in DATE_PATTERNS:
+        looks = looks.when(text.rlike(look + _CLOCK), F.lit(pattern))
+    known = F.when(~text.rlike("^[+-]?[0-9]{5,}"), text).try_cast("timestamp")
+    # the look is taken only where something else is written, as most times need no pattern
+    written = F.when(text.rlike("[^0-9.]|^[0-9]{8}$|[.].*[.]"), looks)
+    return F.coalesce(first_day, known, F.try_to_timestamp(text, written))
 
 
 def start_of_year(ts: Column) -> Column:
