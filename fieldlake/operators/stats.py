@@ -5,8 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlake.functions.numeric import to_double
@@ -76,44 +76,84 @@ def model_summary(fit: DataFrame | None, df: DataFrame) -> DataFrame:
     return fit.select(status.alias("status"), "coef", "intercept", "r2", "n")
 
 
-def _moments(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Means and covariances of all features and the target, gaps as 0, in one aggregate.
+def _gram_kernel(means: np.ndarray):
+    """Sums and products of a task's rows around ``means``, a number per place."""
 
-    (p+1)(p+2)/2 numbers leave each task, however many rows there are.
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = len(means)
+        sums, products, count = np.zeros(size), np.zeros((size, size)), 0
+        for batch in batches:
+            rows = np.stack([column.to_numpy() for column in batch.columns], axis=1) - means
+            sums += rows.sum(axis=0)
+            products += rows.T @ rows
+            count += len(rows)
+        if count:
+            values = np.concatenate([[count], sums, products.ravel()])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values))), pa.array(values)], ["place", "value"])
+
+    return kernel
+
+
+def _moments(df: DataFrame, features: list[str], target: str) -> tuple[np.ndarray, np.ndarray]:
+    """Means and covariances of all features and the target, gaps as 0.
+
+    One pass for the means, one that multiplies whole batches around them; each task sends
+    (p+1)(p+2)+1 numbers, which are summed by place, however many rows there are.
     """
     names = [*features, target]
     numbers = df.select(
         *[F.coalesce(to_double(F.col(c)), F.lit(0.0)).alias(f"v{i}") for i, c in enumerate(names)]
     )
-    pairs = [(i, j) for i in range(len(names)) for j in range(i, len(names))]
-    return numbers.agg(
-        F.array(*[F.avg(f"v{i}") for i in range(len(names))]).alias("means"),
-        F.array(*[F.covar_pop(f"v{i}", f"v{j}") for i, j in pairs]).alias("covariances"),
-    )
+    first = numbers.agg(*[F.avg(f"v{i}") for i in range(len(names))]).first()
+    means = np.array([0.0 if mean is None else mean for mean in first])
+    placed = numbers.mapInArrow(_gram_kernel(means), "place long, value double")
+    total = placed.groupBy("place").agg(F.sum("value").alias("value")).toArrow()
+    size = len(names)
+    values = np.zeros(1 + size + size * size)
+    values[total.column("place").to_numpy()] = total.column("value").to_numpy()
+    count = max(1.0, values[0])
+    left = values[1 : 1 + size] / count  # what rounding has left of the means
+    return means, values[1 + size :].reshape(size, size) / count - np.outer(left, left)
+
+
+def _correlations(cov: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(correlations of the features, those with the target, units), so that units do not matter."""
+    unit = np.sqrt(np.maximum(cov.diagonal(), 0.0))
+    unit = np.where(unit > 0, unit, 1.0)
+    corr = cov / np.outer(unit, unit)
+    return corr[:-1, :-1], corr[:-1, -1], unit
+
 
+def _factorised(inner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pseudo-inverse of correlations, and per feature its share outside of their span."""
+    values, vectors = np.linalg.eigh(inner)
+    kept = values > 1e-10 * max(1.0, values.max(initial=0.0))
+    spanned = vectors[:, kept]
+    return (spanned / values[kept]) @ spanned.T, 1 - (spanned**2).sum(axis=1)
 
-def _square(values: list[float], size: int) -> np.ndarray:
-    out = np.zeros((size, size))
-    out[np.triu_indices(size)] = values
-    return out + np.triu(out, 1).T
 
+def _solve(cov: np.ndarray) -> tuple[np.ndarray, float]:
+    """Coefficients and R-squared of the last variable; collinear features share the effect."""
+    if cov[-1, -1] <= 0:
+        return np.zeros(len(cov) - 1), 1.0
+    inner, outer, unit = _correlations(cov)
+    beta = _factorised(inner)[0] @ outer
+    return beta * unit[-1] / unit[:-1], float(2 * beta @ outer - beta @ inner @ beta)
 
-def _solve(cov: np.ndarray, chosen: list[int]) -> tuple[np.ndarray, float]:
-    """Coefficients and R-squared of the last variable on the chosen ones.
 
-    Solved on correlations, so that units do not matter; collinear features share the effect.
+def _drops(cov: np.ndarray) -> np.ndarray:
+    """What R-squared loses without each feature, all from one factorisation.
+
+    Holding a coefficient at 0 costs its square over its place in the inverse; nothing where
+    other features make up for it.
     """
-    target = len(cov) - 1
-    if cov[target, target] <= 0:
-        return np.zeros(len(chosen)), 1.0
-    if not chosen:
-        return np.zeros(0), 0.0
-    scale = np.sqrt(np.maximum(cov.diagonal(), 0.0))
-    unit = np.where(scale > 0, scale, 1.0)
-    corr = cov / np.outer(unit, unit)
-    inner, outer = corr[np.ix_(chosen, chosen)], corr[chosen, target]
-    beta = np.linalg.lstsq(inner, outer, rcond=1e-10)[0]
-    return beta * unit[target] / unit[chosen], float(2 * beta @ outer - beta @ inner @ beta)
+    if cov[-1, -1] <= 0:
+        return np.zeros(len(cov) - 1)
+    inner, outer, _ = _correlations(cov)
+    inverse, outside = _factorised(inner)
+    place = inverse.diagonal()
+    known = (outside < 1e-6) & (place > 0)
+    return np.where(known, (inverse @ outer) ** 2 / np.where(known, place, 1.0), 0.0)
 
 
 def numeric_columns(df: DataFrame, without: list[str] = []) -> list[str]:
@@ -126,51 +166,24 @@ def leave_one_out_importance(
 ) -> DataFrame:
     """``feature, importance``: how much R-squared drops without the feature, not below 0.
 
-    All p+1 fits come from one pass over the data. Non-numeric features are ignored; a single
-    feature is compared with the mean.
+    All p+1 fits come from two passes over the data and one factorisation. Non-numeric features
+    are ignored; a single feature is compared with the mean. Eager: p numbers come back.
     """
     numeric = numeric_columns(df, [target])
     features = [c for c in numeric if features is None or c in features]
-    schema = "feature string, importance double"
-    if not features:
-        return df.sparkSession.createDataFrame([], schema)
-    size = len(features) + 1
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for values in batch["covariances"]:
-                cov = _square(values, size)
-                everything = list(range(size - 1))
-                full = _solve(cov, everything)[1]
-                drops = [
-                    max(0.0, full - _solve(cov, [j for j in everything if j != i])[1])
-                    for i in everything
-                ]
-                yield pd.DataFrame({"feature": features, "importance": drops})
-
-    rows = _moments(df, features, target).mapInPandas(solve, schema)
+    found = _drops(_moments(df, features, target)[1]).tolist() if features else []
+    rows = df.sparkSession.createDataFrame(list(zip(features, found)), "feature string, importance double")
     return rows.orderBy(F.desc("importance"), "feature")
 
 
 def linear_model(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """One row ``coefs, means, baseline, r2`` of the multiple regression."""
-    size = len(features) + 1
-
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for means, values in zip(batch["means"], batch["covariances"]):
-                coefs, r2 = _solve(_square(values, size), list(range(size - 1)))
-                yield pd.DataFrame(
-                    {
-                        "coefs": [coefs.tolist()],
-                        "means": [list(means[:-1])],
-                        "baseline": [float(means[-1])],
-                        "r2": [r2],
-                    }
-                )
-
-    schema = "coefs array<double>, means array<double>, baseline double, r2 double"
-    return _moments(df, features, target).mapInPandas(solve, schema)
+    """One row ``coefs, means, baseline, r2`` of the multiple regression. Eager."""
+    means, cov = _moments(df, features, target)
+    coefs, r2 = _solve(cov)
+    return df.sparkSession.createDataFrame(
+        [(coefs.tolist(), means[:-1].tolist(), float(means[-1]), r2)],
+        "coefs array<double>, means array<double>, baseline double, r2 double",
+    )
 
 
 def attributions(

@@ -76,3 +76,31 @@ def test_model_summary(spark, readings, tmp_path):
     assert row["status"] == "fitted" and row["n"] == 300
     none = stats.model_summary(stats.fit_yield(readings), readings).first()
     assert none["status"] == "target not found" and none["coef"] is None
+
+
+def test_a_replacement_that_fails_leaves_the_old_table(spark):
+    writers.replace_table(spark.range(10), "replaced")
+    broken = spark.range(100).select(F.when(F.col("id") < 90, F.col("id")).otherwise(F.raise_error(F.lit("x"))).cast("long").alias("id"))
+    with pytest.raises(Exception, match="x"):
+        writers.replace_table(broken, "replaced")
+    assert spark.table("replaced").count() == 10
+    reader = spark.table("replaced")
+    writers.replace_table(spark.table("replaced").select("id", (F.col("id") * 2).alias("twice")), "replaced")
+    assert spark.table("replaced").agg(F.sum("twice")).first()[0] == 90
+    assert reader.count() == 10  # what has begun goes on with the rows it found
+    writers.replace_table(spark.range(3), "replaced")
+    assert [t.name for t in spark.catalog.listTables() if t.name.startswith("replaced")] == ["replaced"]
+    assert spark.table("replaced").count() == 3
+
+
+def test_a_bucketed_replacement_keeps_its_buckets(spark, readings, plan_of):
+    for scale in (1.0, 2.0):
+        changed = readings.withColumn("nitrogen", F.col("nitrogen") * scale)
+        writers.load_readings_table(changed, "bucketed_readings", buckets=4)
+    with pytest.raises(Exception):
+        writers.load_readings_table(readings.drop("moisture"), "bucketed_readings", buckets=4)
+    found = spark.table("bucketed_readings")
+    assert found.count() == 300
+    assert plan_of(found.groupBy("field_id").count()).count("Exchange") == 0
+    day = found.filter(F.col("day") == F.lit("2024-05-01").cast("date"))
+    assert day.count() == 96 and "PartitionFilters: [isnotnull(day" in plan_of(day)

@@ -175,3 +175,22 @@ def test_stress(spark):
         "avg_temperature": (34.0, 37.0, 3.0),
         "avg_ph": (6.0, 6.0, 0.0),
     }
+
+
+def test_importance_of_many_columns(spark, plan_of):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(700, 60)) * 10.0 ** rng.integers(-3, 6, 60) + 1e4
+    x[:, 7] = x[:, 3] * 2 - x[:, 5] / 3  # made up by others
+    y = x[:, :20] @ rng.normal(size=20) / 1e3 + rng.normal(size=700)
+    names = [f"x{i:02d}" for i in range(60)]
+    df = spark.createDataFrame([(*map(float, r), float(t)) for r, t in zip(x, y)], ", ".join(f"{n} double" for n in [*names, "y"]))
+    found = stats.leave_one_out_importance(df.repartition(5), "y")
+    got = {r["feature"]: r["importance"] for r in found.collect()}
+    assert len(got) == 60 and plan_of(found).count("covar") == 0
+    scaled = (x - x.mean(axis=0)) / x.std(axis=0)
+    full = r_squared(scaled, y)
+    for i in (0, 3, 5, 7, 19, 20, 59):
+        rest = [j for j in range(60) if j != i]
+        assert got[f"x{i:02d}"] == pytest.approx(max(0.0, full - r_squared(scaled[:, rest], y)), abs=1e-8)
+    model = stats.linear_model(df, names, "y").first()
+    assert model["r2"] == pytest.approx(full, abs=1e-8)

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from fieldlake.operators import aggregates, quality
 from fieldlake.operators.stats import linear_fit, model_summary
-from fieldlake.sinks.writers import load_or_csv, replace_table, write_model_summary
+from fieldlake.sinks.writers import load_or_csv, load_readings_table, replace_table, write_model_summary
 from fieldlake.session import scratch_path
 from fieldlake.sources.documents import read_text_files
 from fieldlake.sources.soil_files import read_soil_files
 from fieldlake.sources.tables import read_table
 from workload.registry import query, rounded
-from workload.views import SENSORS, sensors, table
+from workload.views import GATED, SENSORS, sensors, table
 
 
 @query(
@@ -72,6 +72,19 @@ def catalog_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(found.agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("mean_price")))
 
 
+@query(
+    f"""WITH {SENSORS}, {GATED} SELECT CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS "day", field_id, count(*) AS n
+        FROM gated GROUP BY 1, 2"""
+)
+def catalog_bucketed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings in a bucketed table, replaced by themselves, counted per day and bucket key."""
+    readings = sensors(spark, sf_dir)
+    for _ in range(2):
+        name = load_readings_table(readings, "fieldlake_readings", buckets=8)
+    found = read_table(spark, name).groupBy(F.col("day").cast("string").alias("day"), "field_id")
+    return found.agg(F.count("*").alias("n"))
+
+
 @query(
     f"""WITH {SENSORS} SELECT field_id, count(*) AS n, CAST(count(moisture) AS BIGINT) AS n_moisture FROM sensors GROUP BY 1"""
 )

@@ -19,7 +19,14 @@ from fieldlake.session import scratch_path, use_utc
 from fieldlake.sinks.writers import load_readings, replace_parquet, write_csv
 from fieldlake.sources.profile import profile
 from fieldlake.sources.tables import normalise
-from fieldlake.streaming.gate import gated_means, tumbling_means, write_available
+from fieldlake.streaming.gate import (
+    gated_means,
+    read_stream,
+    read_windows,
+    tumbling_means,
+    upsert_windows,
+    write_available,
+)
 from workload.registry import joined, query, rounded, time_text
 from workload.views import COMPLETE_SQL, GATED, SENSORS, as_readings, clamp_sql, sensors, table
 
@@ -187,6 +194,17 @@ def stream_gate_15min(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(named)
 
 
+@query(f"WITH {SENSORS}, {GATED} {_WINDOWED} GROUP BY w, field_id")
+def stream_windows_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows of the drained stream, those of the last hour among them."""
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    stream = read_stream(spark, sf_dir, schema, "events.parquet")
+    out = scratch_path(spark, "windows")
+    upsert_windows(as_readings(normalise(stream)), f"{out}/data", f"{out}/state").awaitTermination()
+    named = read_windows(spark, f"{out}/data").withColumn("window_start", time_text("window_start"))
+    return rounded(named.drop("window_end"))
+
+
 _DAYS = [f"2024-01-{day:02d}" for day in range(1, 31)]
 
 
