@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from fieldlake.functions.numeric import to_double
 from fieldlake.functions.temporal import year_start
 from fieldlake.schema import DEFAULT_MOISTURE, DEFAULT_TEMPERATURE
+from fieldlake.session import materialise
 
 # Months per period.
 _STEP = {"month": 1, "year": 12}
@@ -165,6 +166,38 @@ def fill_moisture(df: DataFrame, default: float = DEFAULT_MOISTURE) -> DataFrame
     return filled.withColumn("moisture", value).drop("_year_mean")
 
 
+def fill_by_year(
+    soils: DataFrame, annual: DataFrame, expand: bool | None = None, default: float = DEFAULT_MOISTURE
+) -> DataFrame:
+    """Soil rows expanded over the years, joined with ``annual`` and filled, from sums per year.
+
+    The same as :func:`expand_years`, :func:`join_annual` and :func:`fill_moisture` one after
+    another, for an ``annual`` of one row per year. The count and the sum of the rows' own
+    moisture per year tell whether they cover a single year, and what the mean of a year is
+    after the join: the grid's value where there is one, else the mean of the rows' own. So the
+    rows are read twice, and only sums are shuffled. Eager up to the sums, as few as years.
+    """
+    own = F.col("moisture") if "moisture" in soils.columns else F.lit(None).cast("double")
+    kept = soils.select("year", own.alias("own")).groupBy("year")
+    sums = materialise(kept.agg(F.sum("own").alias("sum"), F.count("own").alias("n")), "year-sums")
+    grid = annual.filter("year IS NOT NULL").select(F.col("year").alias("_of"), F.col("moisture").alias("_grid"))
+    if expand is None:
+        expand = sums.filter("year IS NOT NULL").count() <= 1
+    if expand and not grid.isEmpty():
+        years = grid.agg(F.array_sort(F.collect_set("_of")).alias("years")).scalar()
+        rows = soils.withColumn("_years", years).withColumn("_year", F.explode("_years"))
+        rows = rows.withColumns({"timestamp": year_start(F.col("_year")), "year": F.col("_year")}).drop("_years", "_year")
+        mean = sums.agg(F.try_divide(F.sum("sum"), F.sum("n"))).scalar()
+        fills = grid.withColumn("_mean", mean)
+    else:
+        rows = soils
+        means = sums.filter("year IS NOT NULL").select("year", F.try_divide("sum", "n").alias("_mean"))
+        fills = means.join(grid, F.col("year") == F.col("_of"), "left").select(F.col("year").alias("_of"), "_grid", "_mean")
+    joined = rows.join(F.broadcast(fills), F.col("year") == F.col("_of"), "left")
+    filled = F.coalesce("_grid", own, "_mean", F.lit(default))
+    return joined.withColumn("moisture", filled).drop("_of", "_grid", "_mean")
+
+
 def fill_constant(df: DataFrame, column: str, value: float) -> DataFrame:
     """Numbers of a column with a constant for what is missing or unreadable."""
     own = to_double(F.col(column)) if column in df.columns else F.lit(None).cast("double")

@@ -10,6 +10,7 @@ from fieldlake.functions.numeric import to_double
 from fieldlake.operators.enrich import (
     annual_moisture,
     expand_years,
+    fill_by_year,
     fill_constant,
     fill_moisture,
     join_annual,
@@ -50,8 +51,8 @@ def merge_datasets(
 
     Records that cover no more than one year are repeated over all moisture years. A missing
     moisture becomes the grid's value, else the record's own, else the mean of its year, else
-    30; a missing temperature becomes 20. No soil record takes part in a shuffle as long as
-    ``one_row_per_year`` holds.
+    30; a missing temperature becomes 20. With ``one_row_per_year`` the records are read twice
+    and none takes part in a shuffle.
     """
     if {"lat", "lon"} <= set(soils.columns):
         where = grid_field_id(to_double(F.col("lat")), to_double(F.col("lon")))
@@ -62,8 +63,11 @@ def merge_datasets(
         annual = annual.withColumnRenamed("soil_moisture", "moisture")
     if "year" not in annual.columns:
         annual = annual.withColumn("year", F.year("timestamp"))
-    dated = expand_years(with_year(soils), annual, expand)
-    filled = fill_moisture(join_annual(dated, annual, one_row_per_year), DEFAULT_MOISTURE)
+    if one_row_per_year:
+        filled = fill_by_year(with_year(soils), annual, expand, DEFAULT_MOISTURE)
+    else:
+        dated = expand_years(with_year(soils), annual, expand)
+        filled = fill_moisture(join_annual(dated, annual), DEFAULT_MOISTURE)
     filled = fill_constant(filled, "temperature", DEFAULT_TEMPERATURE)
     return gate(tag_scenario(filled)).select(*INTEGRATED)
 
@@ -77,8 +81,8 @@ def integrate(
     """Raw soil records and a long moisture grid, by spatial means per time step.
 
     The annual means, a row per year, are stored once instead of being recomputed wherever they
-    are used. The soil records are read up to three times, twice for their years and moisture
-    only; ``store_mapped`` stores them as mapped, which pays off if they come from text files.
+    are used. The soil records are read twice, once for their years and moisture only;
+    ``store_mapped`` stores them as mapped, which pays off if they come from text files.
     """
     annual = materialise(annual_moisture(grid, "step_mean"), "annual")
     soils = map_database_soil(raw_soils)

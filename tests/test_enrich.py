@@ -246,3 +246,17 @@ def test_running_totals_read_the_source_twice(spark, tmp_path, plan_of):
     spark.range(1000).write.parquet(str(tmp_path / "t"))
     plan = plan_of(ranges.number_within(spark.read.parquet(str(tmp_path / "t")), [], "id", "n"))
     assert str(tmp_path / "t") not in plan and "Window " in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("expand, years", [(None, (None, 2000, 2001, 2003)), (None, (2001, None)), (True, (2000, 2001)), (False, (2001,))])
+def test_sums_per_year_stand_for_the_three_steps(spark, expand, years):
+    rows = [(f"f{i}", None if y is None else day(y, 5), y, own) for i, y in enumerate(years) for own in (None, 10.0 + i, 20.0)]
+    soils = spark.createDataFrame(rows, "field_id string, timestamp timestamp, year int, moisture double")
+    for grid in ([(2001, 7.0), (2003, None), (1999, 3.0)], [(None, 4.0)]):
+        annual = spark.createDataFrame(grid, "year int, moisture double")
+        for one in (soils, soils.drop("moisture")):
+            steps = enrich.fill_moisture(enrich.join_annual(enrich.expand_years(one, annual, expand), annual, True))
+            found = enrich.fill_by_year(one, annual, expand)
+            columns = ["field_id", "timestamp", "year", "moisture"]
+            key = lambda r: str(tuple(r))
+            assert sorted(found.select(columns).collect(), key=key) == sorted(steps.select(columns).collect(), key=key)

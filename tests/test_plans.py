@@ -2,6 +2,7 @@
 
 import pytest
 
+from fieldlake.operators import enrich
 from fieldlake.operators.quality import gate, keep_category
 from fieldlake.plans.sensors import run_stress_test
 from fieldlake.sinks.writers import _by_day
@@ -62,3 +63,12 @@ def test_generated_stress_test(spark):
     assert rows["avg_temperature"]["delta"] == pytest.approx(4.0)
     assert rows["avg_moisture"]["drought"] == pytest.approx(rows["avg_moisture"]["baseline"] / 2)
     assert rows["avg_ph"]["delta"] == 0.0
+
+
+def test_integration_reads_its_tables_seldom(spark, sf_dir, monkeypatch, plan_of):
+    read = []
+    plans = lambda df: read.append(plan_of(df).count("lineitem.parquet]"))
+    kept = enrich.materialise
+    monkeypatch.setattr(enrich, "materialise", lambda df, name: plans(df) or kept(df, name))
+    plans(QUERIES["integrate_full"](spark, sf_dir))
+    assert read == [1, 1]  # the sums per year, and the rows
