@@ -3,6 +3,10 @@
 Rows of (word, position, token) meet the merge table, and every word contracts its leftmost
 pair of least rank in each step of a recursive query, until no word has a pair left. A text
 is its words' ids one after another; ids are decoded by an ordered aggregation.
+
+No query holds more than a fixed number of bytes, words or ids, however long a word or a text
+is: a very long word is contracted in windows that are joined where two tokens stay apart when
+encoded together, which is what makes a row of tokens the encoding of its bytes.
 """
 
 from __future__ import annotations
@@ -26,8 +30,11 @@ SLICE_BYTES = 2 << 20
 WORDS_PER_QUERY = 20_000
 WORDS_KEPT = 250_000
 IDS_PER_QUERY = 300_000
-#: A longer word contracts many pairs of its least rank in a step.
+#: A longer word contracts many pairs of its least rank in a step, in windows of so many bytes.
 LONG_WORD = 256
+WINDOW = 1 << 16
+#: Matches of the pattern that a task looks up at once.
+MATCHES_AT_ONCE = 400_000
 
 
 _ENCODE = """
@@ -112,8 +119,8 @@ class Encoder:
     """Encodes words in DuckDB and keeps what it has encoded; one per task."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.words = regex.compile(pattern).findall
-        self.ranks = ranks
+        self.words = regex.compile(pattern).finditer
+        self.spelled = {rank: token for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
         self.db.register("given", merge_table(ranks))
@@ -139,7 +146,37 @@ class Encoder:
         self.db.unregister("start")
         return result["tok"].to_numpy().astype(np.int32), np.bincount(result["word"].to_numpy(), minlength=len(words))
 
+    def stay_apart(self, left: int, right: int) -> bool:
+        """Whether two tokens next to each other are encoded as these two."""
+        both = self.encode_words([self.spelled[left] + self.spelled[right]])[0]
+        return both.tolist() == [left, right]
+
     def encode_long(self, word: bytes) -> np.ndarray:
+        """Ids of a word, window by window.
+
+        A row of tokens is the encoding of its bytes if any two neighbours stay apart: the first
+        merge across a boundary would also be made between the two alone. Of a window, the first
+        half of its tokens is settled, and the next one starts behind them. Where it does not stay
+        apart from them, both go back half a window, and the window grows.
+        """
+        settled: list[np.ndarray] = []
+        ends: list[int] = []  # of the settled parts, in bytes
+        size = WINDOW
+        while True:
+            start = ends[-1] if ends else 0
+            ids = self.encode_window(word[start : start + size])
+            if settled and not self.stay_apart(int(settled[-1][-1]), int(ids[0])):
+                settled.pop()
+                ends.pop()
+                size *= 2
+                continue
+            if start + size >= len(word):
+                return np.concatenate([*settled, ids])
+            kept = ids[: max(1, len(ids) // 2)]
+            settled.append(kept)
+            ends.append(start + sum(len(self.spelled[int(token)]) for token in kept))
+
+    def encode_window(self, word: bytes) -> np.ndarray:
         self.db.register("start", self.start([word]))
         self.db.execute("CREATE OR REPLACE TEMP TABLE state AS SELECT * FROM start")
         self.db.unregister("start")
@@ -175,28 +212,40 @@ class Encoder:
         self.ids = np.concatenate(pieces)
         self.offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
+    def matches(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
+        """Matches of the pattern, some at a time, with the number of the text of each."""
+        found: list[str] = []
+        owner: list[int] = []
+        for number, text in enumerate(texts):
+            for match in self.words(text):
+                found.append(match.group())
+                owner.append(number)
+                if len(found) == MATCHES_AT_ONCE:
+                    yield found, owner
+                    found, owner = [], []
+        yield found, owner
+
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids per text)."""
-        found: list[str] = []
-        ends = [0]
-        for text in texts:
-            found.extend(self.words(text))
-            ends.append(len(found))
-        coded = pa.array(found, pa.string()).dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        self.learn(names)
-        codes = np.fromiter((self.code[name] for name in names), np.int64, len(names))[coded.indices.to_numpy()]
-        starts, sizes = self.offsets[codes], self.offsets[codes + 1] - self.offsets[codes]
-        total = np.concatenate([[0], np.cumsum(sizes)])
-        places = np.repeat(starts - total[:-1], sizes) + np.arange(total[-1])
-        return self.ids[places], np.diff(total[np.array(ends)])
+        ids, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        for found, owner in self.matches(texts):
+            coded = pa.array(found, pa.string()).dictionary_encode()
+            names = coded.dictionary.to_pylist()
+            self.learn(names)
+            codes = np.fromiter((self.code[name] for name in names), np.int64, len(names))[coded.indices.to_numpy()]
+            starts, sizes = self.offsets[codes], self.offsets[codes + 1] - self.offsets[codes]
+            total = np.concatenate([[0], np.cumsum(sizes)])
+            ids.append(self.ids[np.repeat(starts - total[:-1], sizes) + np.arange(total[-1])])
+            counts += np.bincount(np.array(owner, np.int64), sizes, len(texts)).astype(np.int64)
+        return np.concatenate(ids), counts
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, ids (array<int>) of every row of ``docs`` (doc_id, text), and the columns in ``keep``.
 
     Each match of ``pattern`` is encoded by itself; special tokens are ordinary text. A null
-    text counts as empty and has no ids. Repeated rows are kept, an empty table gives no row,
+    text counts as empty and has no ids. A text and its ids must fit into the memory of a task,
+    a text of one long word too. Repeated rows are kept, an empty table gives no row,
     and other columns are not read. The ranks must cover all 256 bytes; their number, that
     of a tokenizer file, bounds what is sent to the tasks.
     """
@@ -241,26 +290,26 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
                 db.register("given", pa.table({"id": pa.array(list(ranks.values()), pa.int32()), "text": names}))
                 db.execute("CREATE TABLE vocabulary AS SELECT * FROM given")
                 known = pa.array(list(ranks.values()), pa.int32())
-            at = 0
+            values = batch.column("ids").flatten()
+            if not pc.all(pc.is_in(values, value_set=known)).as_py() and len(values):
+                raise ValueError("ids without a token")
             lengths = batch.column("ids").value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-            while at < batch.num_rows:
-                stop = at + max(1, int(np.searchsorted(np.cumsum(lengths[at:]), IDS_PER_QUERY, "right")))
-                yield decode_rows(db, known, batch.slice(at, stop - at), lengths[at:stop])
-                at = stop
+            made = pa.array(decode_lists(db, values, lengths), pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "decoded"])
 
-    def decode_rows(db, known: pa.Array, batch: pa.RecordBatch, lengths: np.ndarray) -> pa.RecordBatch:
+    def decode_lists(db, values: pa.Array, lengths: np.ndarray) -> list[bytes]:
+        """Bytes of each list; a list's ids may be spread over several queries."""
         part = np.repeat(np.arange(len(lengths)), lengths)
-        values = batch.column("ids").flatten()
-        db.register("ids", pa.table({"part": part, "pos": np.arange(len(part)), "id": values}))
-        result = db.sql(_DECODE).to_arrow_table()
-        db.unregister("ids")
-        texts = [b""] * len(lengths)
-        for place, text in zip(result["part"].to_pylist(), result["text"].to_pylist()):
-            texts[place] = text.encode("latin-1")
-        if not pc.all(pc.is_in(values, value_set=known)).as_py() and len(part):
-            raise ValueError("ids without a token")
-        made = pa.array(texts, pa.binary())
-        return pa.RecordBatch.from_arrays([*batch.columns, made], [*batch.schema.names, "decoded"])
+        pieces: list[list[bytes]] = [[] for _ in lengths]
+        for start in range(0, len(part), IDS_PER_QUERY):
+            some = slice(start, start + IDS_PER_QUERY)
+            ids = values.slice(start, IDS_PER_QUERY)
+            db.register("ids", pa.table({"part": part[some], "pos": np.arange(len(ids)), "id": ids}))
+            result = db.sql(_DECODE).to_arrow_table()
+            db.unregister("ids")
+            for place, text in zip(result["part"].to_pylist(), result["text"].to_pylist()):
+                pieces[place].append(text.encode("latin-1"))
+        return [b"".join(piece) for piece in pieces]
 
     fields = ", ".join(f"`{name}` {kind}" for name, kind in encoded.dtypes)
     return encoded.mapInArrow(kernel, f"{fields}, decoded binary")
