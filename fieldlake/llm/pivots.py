@@ -126,8 +126,9 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     Two vectors link at a cosine of ``threshold`` or more; none below it is linked. Vectors
     that are null, zero or have null or non-finite components link with nothing, nor do
     vectors of different lengths. Equal vectors are compared once and all count. A row with a
-    null vec_id counts as a link of others; its own component is the least id reachable, or
-    null. An empty table gives no row; other columns are not read.
+    null vec_id counts as a link of equal vectors, and of near ones where an equal vector has an
+    id; its own component is the least id reachable, or null. An empty table gives no row;
+    other columns are not read.
     """
     spark = prepare(vectors.sparkSession)
     rows = vectors.select("vec_id", "embedding")

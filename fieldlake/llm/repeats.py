@@ -100,7 +100,7 @@ def ask_anchors(pieces: Pieces, buckets: int):
     fresh = np.ones(len(order), bool)
     fresh[1:] = sorted_anchor[1:] != sorted_anchor[:-1]
     firsts = np.flatnonzero(fresh)
-    lasts = np.append(firsts[1:], len(order)) - 1
+    lasts = np.append(firsts[1:], len(order))[: len(firsts)] - 1  # none where no text is long enough
     text = pieces.text[order]
     anchors, shared = sorted_anchor[firsts], text[firsts] != text[lasts]
     bucket = _deal(anchors, buckets)
@@ -219,6 +219,11 @@ def _take(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray
     return data[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def _size_type(length: int) -> type:
+    """What holds the size of a piece, the narrowest for the many pieces there are."""
+    return np.uint8 if PIECE + length <= 256 else np.uint32
+
+
 _SEND = "bucket long, block long, strings binary, sizes binary, anchors binary, which binary, doc binary"
 
 
@@ -240,7 +245,7 @@ def _send(length: int, buckets: int, next_buckets: int):
                         number,
                         block,
                         strings.tobytes(),
-                        sizes[a:b][first].astype(np.uint8).tobytes(),
+                        sizes[a:b][first].astype(_size_type(length)).tobytes(),
                         _narrow(pieces.anchor[a:b][first]).tobytes(),
                         which.astype(np.uint32).tobytes(),
                         ids[pieces.text[a:b]].tobytes(),
@@ -256,12 +261,13 @@ def _piece_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.n
     """Hashes of pieces, chunk by chunk of the text."""
     made = np.zeros(len(starts), np.uint64)
     order = np.argsort(starts, kind="stable")
+    longest = int(sizes.max(initial=0))
     for a in range(0, len(order), 100_000):
         part = order[a : a + 100_000]
         for low in np.unique(starts[part] // CHUNK):
             inside = part[starts[part] // CHUNK == low]
             base = int(low) * CHUNK
-            made[inside] = span_hashes(data[base : base + CHUNK + 256], starts[inside] - base, starts[inside] - base + sizes[inside])
+            made[inside] = span_hashes(data[base : base + CHUNK + longest], starts[inside] - base, starts[inside] - base + sizes[inside])
     return made
 
 
@@ -372,7 +378,7 @@ def _answer_pieces(length: int):
     def kernel(table: pa.Table) -> pa.Table:
         bucket, blocks = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
         read = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in table.column(name)]
-        strings, sizes, which, docs = read("strings", np.uint8), read("sizes", np.uint8), read("which", np.uint32), read("doc", np.int64)
+        strings, sizes, which, docs = read("strings", np.uint8), read("sizes", _size_type(length)), read("which", np.uint32), read("doc", np.int64)
         shift = np.cumsum([0, *map(len, sizes)])
         which = [part.astype(np.int64) + start for part, start in zip(which, shift)]
         all_sizes = np.concatenate(sizes).astype(np.int64)

@@ -140,7 +140,7 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, radius: int = 2
 
     Fingerprints link at ``radius`` or fewer differing bits; component_id is the least doc_id
     reachable. A null or empty text has fingerprint 0 and links like any other. Rows of one
-    doc_id are one document. A row with a null doc_id takes part through documents of the
+    doc_id are judged each by its fingerprint. A row with a null doc_id takes part through documents of the
     same fingerprint only; without one its component_id is null. An empty table gives no
     row, and columns other than doc_id and text are not read. doc_id must be a long.
     """

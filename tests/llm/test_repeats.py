@@ -28,7 +28,7 @@ def mine(df):
     return sorted(rows, key=str)
 
 
-@pytest.mark.parametrize("length", [50, 12])
+@pytest.mark.parametrize("length", [50, 12, 230, 1000])
 def test_same_as_brute_force(docs, prose, length):
     rows = list(enumerate(prose)) + [(100 + n, text) for n, text in enumerate(prose[:5])]
     rows += [(7, None), (8, ""), (200, "a" * 3000), (201, "b" + "a" * 500), (202, "x" * 49), (203, "x" * 49)]
