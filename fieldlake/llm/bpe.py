@@ -12,6 +12,7 @@ encoded together, which is what makes a row of tokens the encoding of its bytes.
 from __future__ import annotations
 
 import base64
+import itertools
 from collections.abc import Iterator
 
 import duckdb
@@ -119,7 +120,8 @@ class Encoder:
     """Encodes words in DuckDB and keeps what it has encoded; one per task."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.words = regex.compile(pattern).finditer
+        self.words = regex.compile(pattern).findall
+        self.each_word = regex.compile(pattern).finditer
         self.spelled = {rank: token for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
@@ -212,23 +214,28 @@ class Encoder:
         self.ids = np.concatenate(pieces)
         self.offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
 
-    def matches(self, texts: list[str]) -> Iterator[tuple[list[str], list[int]]]:
-        """Matches of the pattern, some at a time, with the number of the text of each."""
+    def matches(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
+        """Matches of the pattern, a bounded number at a time, and how many are of each text."""
         found: list[str] = []
-        owner: list[int] = []
+        counts = np.zeros(len(texts), np.int64)
         for number, text in enumerate(texts):
-            for match in self.words(text):
-                found.append(match.group())
-                owner.append(number)
-                if len(found) == MATCHES_AT_ONCE:
-                    yield found, owner
-                    found, owner = [], []
-        yield found, owner
+            if len(text) <= MATCHES_AT_ONCE:
+                parts = [self.words(text)]
+            else:  # a very long text is not cut into words all at once
+                each = (match.group() for match in self.each_word(text))
+                parts = iter(lambda: list(itertools.islice(each, MATCHES_AT_ONCE)), [])
+            for part in parts:
+                if found and len(found) + len(part) > MATCHES_AT_ONCE:
+                    yield found, counts
+                    found, counts = [], np.zeros(len(texts), np.int64)
+                found.extend(part)
+                counts[number] += len(part)
+        yield found, counts
 
     def encode_texts(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids per text)."""
         ids, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
-        for found, owner in self.matches(texts):
+        for found, several in self.matches(texts):
             coded = pa.array(found, pa.string()).dictionary_encode()
             names = coded.dictionary.to_pylist()
             self.learn(names)
@@ -236,7 +243,7 @@ class Encoder:
             starts, sizes = self.offsets[codes], self.offsets[codes + 1] - self.offsets[codes]
             total = np.concatenate([[0], np.cumsum(sizes)])
             ids.append(self.ids[np.repeat(starts - total[:-1], sizes) + np.arange(total[-1])])
-            counts += np.bincount(np.array(owner, np.int64), sizes, len(texts)).astype(np.int64)
+            counts += np.diff(total[np.concatenate([[0], np.cumsum(several)])])
         return np.concatenate(ids), counts
 
 
