@@ -14,6 +14,7 @@ the share of true links found, by brute force for a set of query vectors.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ LEAST_PIVOTS, MOST_PIVOTS, SAMPLED_PER_PIVOT = 64, 2048, 8
 #: Pivots are at most this alike, so that a crowd of near copies gives one of them.
 PIVOT_COSINE = 0.8
 CHUNK = 1024
+#: Class keys: the least vec_id, or from here on a number of its own where no row has an id.
+NODE, NO_ID = "decimal(20,0)", Decimal(2**63)
 
 
 def usable(embedding: Column) -> Column:
@@ -87,7 +90,7 @@ def _verify(threshold: float):
         pivot = table.column("pivot")[0].as_py()
         same = table.column("a")[0].as_py() == table.column("b")[0].as_py()
         sides = table.column("side").to_numpy()
-        values, nodes = _matrix(table.column("embedding")), table.column("node").to_numpy()
+        values, nodes = _matrix(table.column("embedding")), table.column("node").combine_chunks()
         copies = table.column("copies").to_numpy()
         order = table.column("pivots").combine_chunks().flatten().to_numpy().reshape(len(nodes), -1)
         left = np.flatnonzero(sides == 0)
@@ -115,29 +118,34 @@ def _verify(threshold: float):
                     break
                 group = least
         found = np.flatnonzero(links)
-        return pa.table({"node": nodes[found], "links": links[found], "other": nodes[group[found]]})
+        return pa.table({"node": nodes.take(found), "links": links[found], "other": nodes.take(group[found])})
 
     return kernel
 
 
+_LINKS = f"node {NODE}, links long, other {NODE}"
+
+
 def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     """vec_id, n_links, component_id, kept of every row of ``vectors`` (vec_id long, embedding).
 
     Two vectors link at a cosine of ``threshold`` or more; none below it is linked. Vectors
     that are null, zero or have null or non-finite components link with nothing, nor do
     vectors of different lengths. Equal vectors are compared once and all count. A row with a
-    null vec_id counts as a link of equal vectors, and of near ones where an equal vector has an
-    id; its own component is the least id reachable, or null. An empty table gives no row;
+    null vec_id counts as a link of equal and near vectors and connects them; its component is
+    the least id reachable, or null. An empty table gives no row;
     other columns are not read.
     """
     spark = prepare(vectors.sparkSession)
     rows = vectors.select("vec_id", "embedding")
     good = rows.filter(usable(F.col("embedding")))
-    classes, at = stored(
-        good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")), "vector-classes"
-    )
+    classes = good.groupBy("embedding").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies"))
+    # numbered as they are written, so a class without an id keeps its number
+    unnamed = F.monotonically_increasing_id().cast(NODE) + F.lit(NO_ID).cast(NODE)
+    classes = classes.withColumn("node", F.coalesce(F.col("node").cast(NODE), unnamed.cast(NODE)))
+    classes, at = stored(classes, "vector-classes")
     places = [at]
-    links = spark.createDataFrame([], "node long, links long, other long")
+    links = spark.createDataFrame([], _LINKS)
     lengths = [row.width for row in classes.groupBy(F.size("embedding").alias("width")).count().collect()]
     for width in lengths:
         found, path = stored(_links_of(classes.filter(F.size("embedding") == width), threshold), "vector-links")
@@ -145,13 +153,14 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
         places.append(path)
     linked = links.groupBy("node").agg(F.sum("links").alias("links"))
     members = components(links.select(F.col("node").alias("u"), F.col("other").alias("v")))
+    least = F.coalesce("component", "node")
     judged, _ = stored(
         classes.join(linked, "node", "left")
         .join(members, "node", "left")
         .select(
             "embedding",
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
+            F.when(least < NO_ID, least.cast("long")).alias("component_id"),
         ),
         "vector-judged",
     )
@@ -166,13 +175,12 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
 def _links_of(classes: DataFrame, threshold: float) -> DataFrame:
     """(node, links, other) sums of links by class for distinct vectors of one length."""
     spark = classes.sparkSession
-    nodes = classes.filter("node IS NOT NULL")
-    count = nodes.count()
+    count = classes.count()
     most = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, count**0.5)))
-    sample = nodes.orderBy(F.xxhash64("node"), "node").limit(most * SAMPLED_PER_PIVOT).select("embedding").toArrow()
+    sample = classes.orderBy(F.xxhash64("node"), "node").limit(most * SAMPLED_PER_PIVOT).select("embedding").toArrow()
     shipped = spark.sparkContext.broadcast(choose_pivots(_matrix(sample.column("embedding")), most))
     described, path = stored(
-        nodes.mapInArrow(_describe(shipped), "embedding array<float>, node long, copies long, pivots array<int>"),
+        classes.mapInArrow(_describe(shipped), f"embedding array<float>, node {NODE}, copies long, pivots array<int>"),
         "vector-pivots",
     )
     posted = described.select("*", F.explode(F.slice("pivots", 1, POSTED)).alias("pivot"))
@@ -188,7 +196,7 @@ def _links_of(classes: DataFrame, threshold: float) -> DataFrame:
         "embedding",
         "pivots",
     )
-    return pairs.groupBy("pivot", "a", "b").applyInArrow(_verify(threshold), "node long, links long, other long")
+    return pairs.groupBy("pivot", "a", "b").applyInArrow(_verify(threshold), _LINKS)
 
 
 def _true_links(vectors: DataFrame, asked: np.ndarray, threshold: float) -> int:

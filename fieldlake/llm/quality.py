@@ -216,15 +216,20 @@ def fit_quality(measured: DataFrame, labels: DataFrame, held_out: Column) -> Dis
     return fit(class_moments(measured.join(known, "doc_id")))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column) -> DataFrame:
-    """doc_id and score of every row of ``docs`` (doc_id, text), fitted on ``labels``.
+def score_quality(docs: DataFrame, labels: DataFrame, held_out: Column, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, columns in ``keep`` and score of every row of ``docs`` (doc_id, text), fitted on ``labels``.
 
     Statistics are read from the whole text alone. A null text counts as empty; an empty text
     has a score. Without labelled rows every score is 0.5. Repeated rows are kept, an empty
     table gives no row, and other columns are not read.
     """
-    measured, _ = stored(document_statistics(docs), "quality-statistics")
-    return score(measured, fit_quality(measured, labels, held_out))
+    if not keep:
+        measured, _ = stored(document_statistics(docs), "quality-statistics")
+        return score(measured, fit_quality(measured, labels, held_out))
+    packed = docs.select(F.struct("doc_id", *keep).alias("doc_id"), "text")
+    measured, _ = stored(document_statistics(packed), "quality-statistics")
+    model = fit_quality(measured.select("doc_id.doc_id", "statistics"), labels, held_out)
+    return score(measured, model).select("doc_id.*", "score")
 
 
 @query()

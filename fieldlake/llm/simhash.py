@@ -135,30 +135,43 @@ def near_links(prints: DataFrame, radius: int) -> DataFrame:
     return small.union(met.select(F.col("node").alias("u"), F.col("other").alias("v")))
 
 
-def near_duplicates(docs: DataFrame, words_per_shingle: int = 3, radius: int = 2) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id of every row of ``docs``.
-
-    Fingerprints link at ``radius`` or fewer differing bits; component_id is the least doc_id
-    reachable. A null or empty text has fingerprint 0 and links like any other. Rows of one
-    doc_id are judged each by its fingerprint. A row with a null doc_id takes part through documents of the
-    same fingerprint only; without one its component_id is null. An empty table gives no
-    row, and columns other than doc_id and text are not read. doc_id must be a long.
+def near_duplicates(
+    docs: DataFrame, words_per_shingle: int = 3, radius: int = 2, keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, fingerprint, component_id, component of every row of ``docs``, then columns in ``keep``.
+
+    Fingerprints link at ``radius`` or fewer differing bits. ``component`` is the least
+    fingerprint reachable, as 16 hex digits of a signed number, and names the group;
+    component_id is the group's least doc_id. A null or empty text has fingerprint 0 and links
+    like any other. Rows of one doc_id are judged each by its fingerprint. Rows with a null
+    doc_id take part like others; in a group without any id component_id is null. An empty
+    table gives no row, and other columns are not read.
     """
     spark = prepare(docs.sparkSession)
-    rows, _ = stored(fingerprints(docs, words_per_shingle), "fingerprints")
-    nodes, at = stored(rows.groupBy("fingerprint").agg(F.min("doc_id").alias("node")), "fingerprint-nodes")
-    found = components(near_links(nodes.filter("node IS NOT NULL"), radius))
+    packed = docs.select(F.struct("doc_id", *keep).alias("doc_id"), "text")
+    rows, _ = stored(fingerprints(packed, words_per_shingle).select("doc_id.*", "fingerprint"), "fingerprints")
+    nodes, at = stored(
+        rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least")).withColumn("node", F.col("fingerprint")),
+        "fingerprint-nodes",
+    )
+    found = components(near_links(nodes, radius))
+    joined, placed_at = stored(
+        nodes.join(found, "node", "left").select("fingerprint", "least", F.coalesce("component", "node").alias("component")),
+        "fingerprint-components",
+    )
+    ids = joined.groupBy("component").agg(F.min("least").alias("component_id"))
     classes, _ = stored(
-        nodes.join(found, "node", "left").select("fingerprint", F.coalesce("component", "node").alias("component_id")),
-        "fingerprint-classes",
+        joined.join(ids, "component").select("fingerprint", "component", "component_id"), "fingerprint-classes"
     )
-    drop(spark, at)
+    drop(spark, at, placed_at)
+    digits = lambda name: F.lpad(F.lower(F.hex(name)), 16, "0").alias(name)
     return rows.join(classes, "fingerprint").select(
-        "doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", digits("fingerprint"), "component_id", digits("component"), *keep
     )
 
 
 @query()
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by 3-word shingles, linked at 2 or fewer bits."""
-    return near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), 3, 2)
+    found = near_duplicates(documents(spark, sf_dir).select("doc_id", "text"), 3, 2)
+    return found.select("doc_id", "fingerprint", "component_id")

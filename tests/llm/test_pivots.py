@@ -49,3 +49,14 @@ def test_same_as_brute_force(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert near_vectors(table(spark, []), 0.9).count() == 0
+
+
+def test_rows_without_an_id_count_and_connect(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (None, [1.0, 0.01, 0.0]), (None, [1.0, 0.3, 0.0]), (None, [1.0, 0.3, 0.0])]
+    rows += [(5, [1.0, 0.7, 0.0]), (None, [0.0, 0.0, 1.0]), (None, [0.0, 0.01, 1.0]), (2**63 - 1, [0.0, -1.0, 0.0])]
+    found = near_vectors(table(spark, rows), 0.9)
+    got = sorted([(r.vec_id, r.n_links, r.component_id, r.kept) for r in found.collect()], key=str)
+    middle = [(None, 4, 1, False)] * 2
+    want = [(1, 3, 1, True), (None, 3, 1, False), *middle, (5, 2, 1, False)]
+    want += [(None, 1, None, True)] * 2 + [(2**63 - 1, 0, 2**63 - 1, True)]
+    assert got == sorted(want, key=str)

@@ -2,6 +2,7 @@ import itertools
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 from fieldlake.llm import simhash
 from fieldlake.llm.simhash import covering_masks, fingerprint, near_duplicates, near_links
@@ -68,3 +69,17 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
 def test_empty_table_and_chunks(docs):
     assert near_duplicates(docs([])).count() == 0
     assert fingerprint(b"", 3) == 0
+
+
+def test_rows_without_an_id_connect_others(spark):
+    middle = " ".join(f"w{n}" for n in range(400))
+    apart = lambda a, b: bin(brute_print(a) ^ brute_print(b)).count("1")
+    ends = [t for t in (middle.replace(f"w{n} ", f"v{n} ") for n in range(100, 400)) if 0 < apart(t, middle) <= 2]
+    left, right = next((a, b) for a in ends for b in ends if apart(a, b) > 2)
+    rows = [(7, left), (None, middle), (3, right), (None, "alone in this"), (None, "Alone in THIS")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").withColumn("component", F.lit("x"))
+    found = {r.text: r for r in near_duplicates(table, 3, 2, ("text",)).collect()}
+    assert [found[t].component_id for t in (left, middle, right)] == [3, 3, 3]
+    assert len({found[t].component for t in (left, middle, right)}) == 1
+    assert found["alone in this"].component_id is None
+    assert found["alone in this"].component == found["Alone in THIS"].component != found[left].component
