@@ -18,6 +18,7 @@ from fieldlake.llm.decontaminate import contamination, without_spans
 from fieldlake.llm.quality import score_quality
 from fieldlake.llm.repeats import remove_repeats, whole_characters
 from fieldlake.llm.simhash import near_duplicates
+from fieldlake.operators.ranges import record_hash
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -30,38 +31,70 @@ def _counted(docs: DataFrame) -> DataFrame:
     return docs.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
+def _marked(docs: DataFrame) -> DataFrame:
+    """``docs`` with a hash of the whole row: rows are told apart by it, whether or not they have an id."""
+    docs = docs.select(*COLUMNS)
+    return docs.withColumn("mark", record_hash(docs))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from all labels, does not reject."""
+    """Documents that the classifier, learned from all labels, does not reject.
+
+    Each row is judged by its own text, null as empty; rows that share an id, or have none, are
+    judged apart. Equal rows share a verdict. Without labels nothing is rejected.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
-    scored = score_quality(docs.select("doc_id", "text"), labels, F.lit(False))
-    rejected = scored.filter("score < 0.5").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+    marked = _marked(docs)
+    scored = score_quality(marked, labels, F.lit(False), ("mark",))
+    rejected = scored.filter("score < 0.5").select("mark").distinct()
+    return marked.join(rejected, "mark", "left_anti").select(*COLUMNS)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group: the one whose id is the group's least."""
-    groups = near_duplicates(docs.select("doc_id", "text"), 3, 2)
-    dropped = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    """One document of each group: the row with the least id, any id before a null one.
+
+    Of several rows with that id the one of the least row hash stays, and of equal rows one.
+    Rows of one id whose texts are not alike are in different groups and all stay. Null and
+    empty texts are alike.
+    """
+    marked = _marked(docs)
+    groups = near_duplicates(marked, 3, 2, ("mark",))
+    candidates = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = (
+        candidates.groupBy("component", "mark")
+        .agg(F.count("*").alias("copies"))
+        .groupBy("component")
+        .agg(F.min(F.struct("mark", "copies")).alias("first"))
+    )
+    kept, _ = stored(first.select("first.*"), "first-of-groups")
+    once = marked.join(kept.filter("copies = 1"), "mark", "left_semi")
+    equal = marked.join(kept.filter("copies > 1"), "mark", "left_semi").dropDuplicates(["mark"])
+    return once.union(equal).select(*COLUMNS)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes of 50-byte strings that start in an earlier document.
 
-    A cut can fall inside a character; what is left of it goes too, so texts stay UTF-8.
+    A cut can fall inside a character; what is left of it goes too, so texts stay UTF-8. Rows
+    with a null id are after all others and alike; rows of one id do not cut each other. A text
+    that is cut whole stays as an empty one, and a null text becomes empty.
     """
     return _counted(whole_characters(remove_repeats(docs, 50, BESIDE)))
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the merged spans of benchmark windows of 10 words."""
+    """Texts without the merged spans of benchmark windows of 10 words.
+
+    All rows stay, with or without an id. Items with a null id cut like others; null items, and
+    an empty benchmark, cut nothing.
+    """
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
     found = contamination(docs, benchmark, 10, BESIDE)
     return _counted(without_spans(found))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids, and whether the ids decode to the text (null as empty)."""
+    """doc_id, n_tokens, ids, and whether the ids decode to the text (null as empty), for every row."""
     ranks, pattern = public_tokenizer()
     decoded = decode(encode(docs, ranks, pattern, ("text",)), ranks)
     same = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
