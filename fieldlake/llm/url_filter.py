@@ -41,7 +41,7 @@ RULES = (
 )
 
 #: A node with more children than this, half of them with at most this share of its rows,
-#: has a variable segment. Neither changes where every row comes several times.
+#: has a variable segment where labels do not tell its children apart. Neither changes where every row comes several times.
 MANY_CHILDREN = 20
 RARE_SHARE = 0.02
 #: Sibling branches nearer than this many standard errors are merged.
@@ -111,17 +111,39 @@ def _past_chains(tree: DataFrame) -> DataFrame:
     return tree.join(ends, node).select(
         "host",
         "shape",
+        "known",
         *SUMS,
         F.concat("template", _joined(F.slice("rest", F.lit(1), F.col("common")))).alias("template"),
         F.slice("rest", F.col("common") + 1, F.greatest(F.size("rest"), F.lit(1))).alias("rest"),
     )
 
 
+def _with_known(paths: DataFrame) -> DataFrame:
+    """``paths`` with ``known``, how many first segments a labelled path of any host shares.
+
+    Beginnings meet by their length and hash; a collision could change a template's name only.
+    """
+    whole = F.xxhash64("shape")
+    begun = F.transform(F.sequence(F.lit(1), F.size("shape")), lambda k: F.xxhash64(F.slice("shape", F.lit(1), k)))
+    shapes = paths.filter(F.size("shape") > 0).groupBy("shape").agg(F.sum("labelled").alias("labelled"))
+    begins = shapes.select(whole.alias("whole"), "labelled", F.posexplode(begun).alias("at", "begun"))
+    labelled = begins.filter("labelled > 0").select("at", "begun").distinct()
+    known = begins.join(labelled, ["at", "begun"]).groupBy("whole").agg((F.max("at") + 1).alias("known"))
+    met = paths.withColumn("whole", whole).join(known, "whole", "left").drop("whole")
+    return met.withColumn("known", F.coalesce("known", F.lit(0)))
+
+
 def _branches(tree: DataFrame) -> DataFrame:
-    """host, template, segment and what the segment adds to the template, of all branches."""
+    """host, template, segment and what the segment adds to the template, of all branches.
+
+    Labelled children are told apart, or merged, by their labels alone. Only children that no
+    labelled path of any host goes through become ``*``: with it or without it they have no
+    evidence of their own, so the number of their siblings cannot turn a verdict over.
+    """
     node = ["host", "template"]
+    depth = F.size("shape") - F.size("rest") + 1
     branches = tree.groupBy(*node, F.get("rest", F.lit(0)).alias("segment")).agg(
-        *[F.sum(name).alias(name) for name in SUMS]
+        *[F.sum(name).alias(name) for name in SUMS], F.bool_or(F.col("known") >= depth).alias("known")
     )
     wild = branches.groupBy(*node).agg(
         (
@@ -132,7 +154,7 @@ def _branches(tree: DataFrame) -> DataFrame:
     # the labelled share of a branch, pulled to one half by one row of each verdict
     share = (F.col("blocked") + 1) / (F.col("labelled") + 2)
     error = share * (1 - share) / (F.col("labelled") + 2)
-    seen = (F.col("labelled") > 0) & ~F.col("wild") & F.col("segment").isNotNull()
+    seen = (F.col("labelled") > 0) & F.col("segment").isNotNull()
     # branches of equal counts are never apart, so the order is of distinct counts
     counts = ["labelled", "blocked"]
     levels = branches.filter(seen).groupBy(*node, *counts).agg(
@@ -156,7 +178,7 @@ def _branches(tree: DataFrame) -> DataFrame:
     levels = levels.select(*node, *counts, name.alias("name"))
     grown = (
         F.when(F.col("segment").isNull(), F.lit(""))
-        .when(F.col("wild"), F.lit("*"))
+        .when(F.col("wild") & ~F.col("known"), F.lit("*"))
         .otherwise(F.concat(F.lit("/"), F.coalesce("name", "segment")))
     )
     return branches.join(levels, [*node, *counts], "left").select(*node, "segment", grown.alias("grown"))
@@ -166,17 +188,18 @@ def template_verdicts(paths: DataFrame) -> DataFrame:
     """host, shape, template, purity of every distinct (host, shape).
 
     ``paths`` has host, shape, rows, labelled, blocked. Level by level, until no path has a
-    segment left, a node's segment becomes ``*`` where the node has many rare children, and
-    siblings whose blocked shares do not differ by ``SAME_WITHIN`` standard errors are merged.
+    segment left, labelled siblings whose blocked shares do not differ by ``SAME_WITHIN`` standard
+    errors are merged, and where a node has many rare children, a segment that no labelled path
+    goes through becomes ``*``.
     A template's purity is its blocked share smoothed towards the same template's share over
     all hosts, which is smoothed towards the share of all labelled rows.
     """
     spark = paths.sparkSession
-    start = paths.select("host", "shape", *SUMS, F.lit("").alias("template"), F.col("shape").alias("rest"))
+    start = _with_known(paths).select("host", "shape", "known", *SUMS, F.lit("").alias("template"), F.col("shape").alias("rest"))
     tree, path = stored(_past_chains(start), "url-tree")
     levels, whole = [path], []
     while True:
-        whole.append(tree.filter(F.size("rest") == 0).drop("rest"))
+        whole.append(tree.filter(F.size("rest") == 0).drop("rest", "known"))
         # a path that ends at a node is one of its children, so nodes keep theirs until all end
         if tree.filter(F.size("rest") > 0).isEmpty():
             break
@@ -190,6 +213,7 @@ def template_verdicts(paths: DataFrame) -> DataFrame:
         deeper = tree.filter(F.size("rest") > 0).join(b, same).select(
             "host",
             "shape",
+            "known",
             *SUMS,
             F.concat("template", "grown").alias("template"),
             F.slice("rest", F.lit(2), F.size("rest")).alias("rest"),

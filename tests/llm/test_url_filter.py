@@ -76,6 +76,29 @@ def test_name_of_a_merged_branch_is_short(spark):
     assert len(found) == 1 and len(found.pop()) < 150
 
 
+def brute_purity(labels):
+    """Blocked share of a template without another host's, smoothed towards all labels."""
+    base = (sum(labels) + 1) / (len(labels) + 2)
+    smoothed = lambda own, wider: (sum(own) + 4 * wider) / (len(own) + 4)
+    return lambda own: smoothed(own, smoothed(own, base))
+
+
+@pytest.mark.parametrize("sections", [3, 40, 60, 300])
+def test_verdicts_do_not_depend_on_the_number_of_sections(spark, sections):
+    name = lambda n: f"s{chr(97 + n // 26)}{chr(97 + n % 26)}"
+    rules = (Rule("block", "h.org", "/saa/1"), Rule("allow", "h.org", "/sab/1"), Rule("block", "g.org", "/sac/1"))
+    urls = [f"http://h.org/{name(n)}/{k}" for n in range(sections) for k in range(100, 120)]
+    urls += [f"http://h.org/{name(n)}/5" for n in range(3)] + [f"http://g.org/sac/1{k}" for k in range(20)]
+    urls += ["http://g.org/sac/5", "http://g.org/sad/5"]
+    found = {r.path if "h.org" in r.host else r.host + r.path: r for r in filter_urls(pages(spark, urls), rules).collect()}
+    got = {key: found[key].verdict for key in ("/saa/5", "/sab/5", "/sac/5", "g.org/sac/5", "g.org/sad/5")}
+    assert got == {"/saa/5": "block", "/sab/5": "allow", "/sac/5": "block", "g.org/sac/5": "block", "g.org/sad/5": "block"}
+    purity = brute_purity([1] * 20 + [0] * 20 + [1] * 20)
+    assert found["/saa/5"].purity == pytest.approx(purity([1] * 20), abs=1e-9)
+    assert found["/sab/5"].purity == pytest.approx(purity([0] * 20), abs=1e-9)
+    assert found["g.org/sad/5"].purity == pytest.approx(purity([]), abs=1e-9)
+
+
 def test_empty_table(spark):
     assert filter_urls(pages(spark, [])).count() == 0
 
