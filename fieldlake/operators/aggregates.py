@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from fieldlake.functions.numeric import to_double
 from fieldlake.functions.temporal import parse_timestamp
 from fieldlake.functions.text import title_words
+from fieldlake.operators.ranges import running_totals
 
 
 def mean_by(df: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
@@ -149,3 +150,15 @@ def element_union(df: DataFrame, elements: str, keys: list[str] | None = None) -
     keys = keys or []
     pairs = df.select(*keys, F.explode(elements).alias("_element")).distinct()
     return pairs.groupBy(*keys).agg(F.array_sort(F.collect_list("_element")).alias(elements))
+
+
+def distinct_elements(df: DataFrame, element: Column, out: str, keys: list[str] | None = None) -> DataFrame:
+    """Distinct non-null elements of an array as rows, with their 0-based ``position`` in order.
+
+    Overall or per group, as ``element_union``, but no task and no row holds a whole union.
+    Eager: the numbered rows are stored.
+    """
+    keys = keys or []
+    rows = df.select(*keys, F.explode(element).alias(out)).dropna(subset=[out]).distinct()
+    numbered = running_totals(rows, keys, [F.col(out)], {"position": F.lit(1)})
+    return numbered.withColumn("position", F.col("position") - 1)

@@ -260,3 +260,13 @@ def test_sums_per_year_stand_for_the_three_steps(spark, expand, years):
             columns = ["field_id", "timestamp", "year", "moisture"]
             key = lambda r: str(tuple(r))
             assert sorted(found.select(columns).collect(), key=key) == sorted(steps.select(columns).collect(), key=key)
+
+
+def test_distinct_elements_are_rows(spark):
+    rows = [("a", ["y", "x", None]), ("a", ["x"]), ("b", []), (None, ["z"]), ("c", None)]
+    lists = spark.createDataFrame(rows, "g string, e array<string>")
+    overall = aggregates.distinct_elements(lists, F.col("e"), "word").collect()
+    assert sorted((r.position, r.word) for r in overall) == [(0, "x"), (1, "y"), (2, "z")]
+    grouped = aggregates.distinct_elements(lists, F.col("e"), "word", ["g"]).collect()
+    assert {(r.g, r.position, r.word) for r in grouped} == {("a", 0, "x"), ("a", 1, "y"), (None, 0, "z")}
+    assert aggregates.distinct_elements(lists.limit(0), F.col("e"), "word").count() == 0

@@ -253,6 +253,23 @@ def element_unions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unions.select("p_type", joined("words").alias("words"))
 
 
+@query(
+    """SELECT word, row_number() OVER (ORDER BY word) - 1 AS position
+       FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part)"""
+)
+def element_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return aggregates.distinct_elements(table(spark, sf_dir, "part"), F.split("p_name", " "), "word")
+
+
+@query(
+    """SELECT p_type, word, row_number() OVER (PARTITION BY p_type ORDER BY word) - 1 AS position
+       FROM (SELECT DISTINCT p_type, unnest(string_split(p_name, ' ')) AS word FROM part)"""
+)
+def element_positions_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = table(spark, sf_dir, "part")
+    return aggregates.distinct_elements(parts, F.split("p_name", " "), "word", ["p_type"])
+
+
 @query("SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return aggregates.count_by(table(spark, sf_dir, "events"), "event_type")
@@ -302,11 +319,13 @@ def summary_by_scenario(spark: SparkSession, sf_dir: str) -> DataFrame:
        bool_or(moisture IS NULL) AS any_gap, bool_and(moisture IS NULL) AS all_gap FROM sensors"""
 )
 def distinct_and_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sensors(spark, sf_dir).agg(
-        F.count_distinct("field_id").alias("n_fields"),
-        joined(F.array_sort(F.collect_set("field_id"))).alias("fields"),
-        F.bool_or(F.col("moisture").isNull()).alias("any_gap"),
-        F.bool_and(F.col("moisture").isNull()).alias("all_gap"),
+    readings = sensors(spark, sf_dir)
+    fields = aggregates.distinct_values(readings, "field_id").agg(F.array_sort(F.collect_list("field_id")).alias("fields"))
+    return aggregates.holds(readings, F.col("moisture").isNull()).select(
+        aggregates.distinct_count(readings, "field_id").scalar().alias("n_fields"),
+        joined(fields.scalar()).alias("fields"),
+        F.col("any").alias("any_gap"),
+        F.col("all").alias("all_gap"),
     )
 
 
