@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from fieldlake.operators import aggregates, enrich, mapping, ranges, rows, stats
 from fieldlake.plans.integration import INTEGRATED, integrate, integrate_local, merge_datasets
 from fieldlake.sources.grids import moisture_grid
+from workload import enrichment
 
 NAN = float("nan")
 
@@ -270,3 +271,20 @@ def test_distinct_elements_are_rows(spark):
     grouped = aggregates.distinct_elements(lists, F.col("e"), "word", ["g"]).collect()
     assert {(r.g, r.position, r.word) for r in grouped} == {("a", 0, "x"), ("a", 1, "y"), (None, 0, "z")}
     assert aggregates.distinct_elements(lists.limit(0), F.col("e"), "word").count() == 0
+
+
+def test_fan_out_joins_each_order_and_year_once(spark, tmp_path, monkeypatch, plan_of):
+    lines = [(1, 1994), (1, 1994), (1, 1995), (2, 1994), (None, 1994), (None, 1994), (3, None), (4, 1999)]
+    made = [(key, year and day(year, 5)) for key, year in lines]
+    spark.createDataFrame(made, "l_orderkey long, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    dates = [(day(1994, 1, 3),), (day(1994, 1, 9),), (day(1994, 2),), (day(1995, 7),), (None,)]
+    spark.createDataFrame(dates, "o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    met, join = [], enrich.join_annual
+    monkeypatch.setattr(enrich, "join_annual", lambda soils, annual: met.append(soils) or join(soils, annual))
+    monkeypatch.setattr(enrichment, "ROWS_PER_TASK", 3, raising=False)
+    found = enrichment.year_enrichment_fan_out(spark, str(tmp_path)).collect()
+    assert {tuple(row) for row in found} == {
+        (1994, 1.0, 5, 2), (1994, 2.0, 5, 2), (1995, 7.0, 1, 1), (None, None, 1, 1), (1999, None, 1, 1)
+    }
+    assert met[0].count() == 6  # orders of a year, not lines
+    assert "REPARTITION_BY_NUM" in plan_of(met[0])  # three tasks for eight lines

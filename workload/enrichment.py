@@ -23,6 +23,9 @@ from workload.views import (
     table,
 )
 
+#: Rows whose distinct orders one task counts.
+ROWS_PER_TASK = 1_000_000
+
 _SCORE = score_sql(
     "'42' || field_id || coalesce(strftime(\"timestamp\", '%Y-%m-%d %H:%M:%S'), 'NaT')"
 )
@@ -90,18 +93,23 @@ def year_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM soil LEFT JOIN pairs USING ("year") GROUP BY 1, 2"""
 )
 def year_enrichment_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Several values per year multiply the rows; the join is sized by AQE."""
+    """Several values per year multiply the rows; the join is sized by AQE.
+
+    Rows of one order and year are counted before the join: each meets every value of its year
+    once, so the rows joined are one per order and year, and distinct orders are counted as rows.
+    They are dealt to as many tasks as they need, so that a task's orders are bounded.
+    """
     orders = table(spark, sf_dir, "orders")
     monthly = orders.select(
         F.year("o_orderdate").alias("year"),
         F.month("o_orderdate").cast("double").alias("moisture"),
     )
     items = table(spark, sf_dir, "lineitem")
-    soils = items.select(F.year("l_shipdate").alias("year"), "l_orderkey")
+    tasks = max(1, -(-items.count() // ROWS_PER_TASK))
+    dealt = items.select(F.year("l_shipdate").alias("year"), "l_orderkey").repartition(tasks, "year", "l_orderkey")
+    soils = dealt.groupBy("year", "l_orderkey").agg(F.count(F.lit(1)).alias("n"))
     out = enrich.join_annual(soils, monthly).groupBy("year", "moisture")
-    return out.agg(
-        F.count(F.lit(1)).alias("n"), F.count_distinct("l_orderkey").alias("n_orders")
-    )
+    return out.agg(F.sum("n").alias("n"), F.count("l_orderkey").alias("n_orders"))
 
 
 @query(
