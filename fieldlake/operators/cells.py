@@ -26,7 +26,11 @@ SAMPLE = 4096
 CELL_ROWS = 32_768
 LEAST_ROWS = 512
 MOST_CELLS = 512
-SCORES_AT_ONCE = 4_000_000
+SCORES_AT_ONCE = 1_000_000
+#: Queries that meet a cell's items together.
+QUERIES_AT_ONCE = 2048
+#: Bytes of vectors in a batch of queries that go to their cells.
+SENT_BYTES = 8 << 20
 #: Room for the rounding of bounds and scores, as a share of the largest score possible.
 SLACK = 1e-9
 
@@ -188,15 +192,19 @@ def query_kernel(cells: Cells, sample: np.ndarray, k: int, probes: int | None):
                     floor = np.full(len(queries), -np.inf)
                     near = cells.nearest(queries)[:, :probes]
                     query, cell = np.repeat(np.arange(len(queries)), near.shape[1]), near.ravel()
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(cell.astype(np.int32)),
-                        batch.column("query_id").take(pa.array(query)),
-                        batch.column("vector").take(pa.array(query)),
-                        pa.array(floor[query]),
-                    ],
-                    ["cell", "query_id", "vector", "floor"],
-                )
+                # a query goes to most cells where there are no clusters, and takes its vector along
+                most = max(1, SENT_BYTES // (8 * max(1, queries.shape[1])))
+                for first in range(0, len(query), most):
+                    some = query[first : first + most]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(cell[first : first + most].astype(np.int32)),
+                            batch.column("query_id").take(pa.array(some)),
+                            batch.column("vector").take(pa.array(some)),
+                            pa.array(floor[some]),
+                        ],
+                        ["cell", "query_id", "vector", "floor"],
+                    )
 
     return kernel
 
@@ -209,19 +217,20 @@ class _Group:
 
     def start(self, key: tuple) -> None:
         if key != self.key:
-            self.key, self.parts, self.ids = key, [], None
+            self.key, self.parts, self.ids, self.vectors = key, [], None, None
 
     def add(self, rows: pa.RecordBatch) -> None:
         self.parts.append(rows)
 
     def match(self, rows: pa.RecordBatch, k: int) -> pa.RecordBatch | None:
-        if not self.parts:
-            return None
-        if self.ids is None:
+        if self.parts:
             ids = pa.concat_arrays([part.column("item_id") for part in self.parts])
             order = pc.array_sort_indices(ids, null_placement="at_start")
             self.ids = ids.take(order)
-            self.vectors = np.concatenate([matrix(part.column("vector")) for part in self.parts])[order.to_numpy()]
+            self.vectors = matrix(pa.concat_arrays([part.column("vector") for part in self.parts]).take(order))
+            self.parts = []  # the batches are not held beside the matrix
+        if self.ids is None:
+            return None
         queries, floor = matrix(rows.column("vector")), rows.column("floor").to_numpy()
         query, item, score = rank_block(queries, np.arange(len(self.ids)), self.vectors, k, floor)
         if not len(query):
@@ -246,11 +255,13 @@ def _match_kernel(k: int):
             cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
             for start, stop in zip([0, *cuts], [*cuts, batch.num_rows]):
                 group.start(tuple(key[start, :3]))
-                rows = batch.slice(start, stop - start)
                 if not key[start, 3]:
-                    group.add(rows)
-                elif (found := group.match(rows, k)) is not None:
-                    yield found
+                    group.add(batch.slice(start, stop - start))
+                    continue
+                for first in range(start, stop, QUERIES_AT_ONCE):
+                    found = group.match(batch.slice(first, min(QUERIES_AT_ONCE, stop - first)), k)
+                    if found is not None:
+                        yield found
 
     return kernel
 

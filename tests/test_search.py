@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -219,3 +220,34 @@ def test_sensor_pipeline(spark, tmp_path):
     stored = spark.read.option("header", True).csv(offline.readings_path)
     assert stored.count() == 9 and {r["q_value"] for r in stored.collect()} == {"0.5"}
     assert preview(stored, [F.asc("timestamp")], 2).count() == 2
+
+
+def test_queries_sent_to_many_cells_leave_in_small_batches(monkeypatch):
+    rng = np.random.default_rng(3)
+    some = cells.Cells(rng.normal(size=(40, 4)), np.full(40, 9.0), np.full(40, 5))
+    vectors = rng.normal(size=(100, 4))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(100)), pa.array(vectors.tolist())], ["query_id", "vector"])
+    kernel = cells.query_kernel(some, rng.normal(size=(50, 4)), 3, None)
+    monkeypatch.setattr(cells, "SENT_BYTES", 8 * 4 * 64, raising=False)
+    sent = list(kernel(iter([batch])))
+    assert max(part.num_rows for part in sent) <= 64
+    pairs = {pair for part in sent for pair in zip(part.column("query_id").to_pylist(), part.column("cell").to_pylist())}
+    assert len(pairs) == sum(part.num_rows for part in sent) == 100 * 40  # every cell may hold a best one
+    assert all(part.column("vector").to_pylist() == vectors[part.column("query_id").to_numpy()].tolist() for part in sent)
+
+
+def test_items_meet_a_bounded_number_of_queries_at_once(monkeypatch):
+    rng, met = np.random.default_rng(4), []
+    vectors = rng.normal(size=(30, 4))
+    rows = [(0, 0, 0, 0, None, f"v{n}", v, None) for n, v in enumerate(vectors.tolist())]
+    rows += [(0, 0, 0, 1, n, None, v, -9.0) for n, v in enumerate(vectors.tolist())]
+    names = ["cell", "salt", "part", "asks", "query_id", "item_id", "vector", "floor"]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(column)) for column in zip(*rows)], names)
+    rank = cells.rank_block
+    monkeypatch.setattr(cells, "rank_block", lambda queries, *rest: met.append(len(queries)) or rank(queries, *rest))
+    monkeypatch.setattr(cells, "QUERIES_AT_ONCE", 7, raising=False)
+    found = pa.Table.from_batches(cells._match_kernel(2)(iter([batch]))).to_pylist()
+    assert max(met) == 7 and sum(met) == 30
+    for n, scores in enumerate(vectors @ vectors.T):
+        best = sorted(range(30), key=lambda i: (-round(scores[i], 12), f"v{i}"))[:2]
+        assert [row["item_id"] for row in found if row["query_id"] == n] == [f"v{i}" for i in best]
