@@ -81,9 +81,12 @@ def _lines(spark: SparkSession, root: str, glob: str) -> DataFrame:
 
 
 def describe_csv_files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
-    """One row per CSV file below ``root``: path, header, valid_utf8, lines, broken_lines."""
+    """One row per CSV file below ``root``: path, header, valid_utf8, lines, broken_lines.
+
+    A file has one header at most. It is collected: a largest text is found by sorting the lines.
+    """
     described = _lines(spark, root, glob).groupBy("path").agg(
-        F.max(F.when(F.col("is_header"), F.col("value"))).alias("raw_header"),
+        F.get(F.collect_list(F.when(F.col("is_header"), F.col("value"))), F.lit(0)).alias("raw_header"),
         F.bool_and(F.is_valid_utf8("value")).alias("valid_utf8"),
         F.count("*").alias("lines"),
         # a line with an odd number of quotes: a field goes on in the next line

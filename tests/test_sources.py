@@ -211,3 +211,12 @@ def test_profile_of_a_map_column(spark):
     facts = {r["column"]: r for r in profile(df).collect()}
     assert (facts["m"]["rows"], facts["m"]["nulls"], facts["m"]["min"], facts["m"]["max"]) == (2, 1, None, None)
     assert (facts["n"]["min"], facts["n"]["max"]) == ("1", "2")
+
+
+def test_files_are_described_without_sorting_their_lines(spark, tmp_path, plan_of):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n3,4\n")
+    (tmp_path / "b.csv").write_text('x\n"one\ntwo"\n')
+    described = soil_files.describe_csv_files(spark, str(tmp_path))
+    assert "SortAggregate" not in plan_of(described)
+    found = {row["path"].rsplit("/", 1)[1]: tuple(row)[1:] for row in described.collect()}
+    assert found == {"a.csv": ("x,y", True, 3, False), "b.csv": ("x", True, 3, True)}
