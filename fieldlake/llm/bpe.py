@@ -26,10 +26,10 @@ from pyspark.sql import functions as F
 from fieldlake.llm.common import documents, prepare, text_slices
 from fieldlake.llm.registry import query
 
-#: Text per step of a task, words per recursive query, words kept with their ids, ids decoded at once.
+#: Text per step of a task, words per recursive query, bytes of words kept with their ids, ids decoded at once.
 SLICE_BYTES = 2 << 20
 WORDS_PER_QUERY = 20_000
-WORDS_KEPT = 250_000
+KEPT_BYTES = 24 << 20
 IDS_PER_QUERY = 300_000
 #: A longer word contracts many pairs of its least rank in a step, in windows of so many bytes.
 LONG_WORD = 256
@@ -119,18 +119,18 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
 class Encoder:
     """Encodes words in DuckDB and keeps what it has encoded; one per task."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, merges: pa.Table | None = None):
         self.words = regex.compile(pattern).findall
         self.each_word = regex.compile(pattern).finditer
         self.spelled = {rank: token for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "250MB", "temp_directory": ""})
-        self.db.register("given", merge_table(ranks))
+        self.db.register("given", merge_table(ranks) if merges is None else merges)
         self.db.execute("CREATE TABLE merges AS SELECT * FROM given")
         self.forget()
 
     def forget(self) -> None:
-        self.code: dict[str, int] = {}
+        self.known = pa.array([], pa.string())
         self.ids = np.zeros(0, np.int32)
         self.offsets = np.zeros(1, np.int64)
 
@@ -193,26 +193,30 @@ class Encoder:
             left = now
         return self.db.sql("SELECT tok FROM state ORDER BY pos").to_arrow_table()["tok"].to_numpy().astype(np.int32)
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words not seen so far."""
-        if len(self.code) + len(words) > WORDS_KEPT:
+    def learn(self, words: pa.StringArray) -> np.ndarray:
+        """Which of the kept words each of some distinct words is; those not seen so far are encoded."""
+        if self.known.nbytes + self.ids.nbytes + self.offsets.nbytes + words.nbytes > KEPT_BYTES:
             self.forget()
-        new = [word for word in words if word not in self.code]
+        found = pc.index_in(words, value_set=self.known)
+        which = found.fill_null(-1).to_numpy().astype(np.int64)
+        new = np.flatnonzero(which < 0)
+        long = pc.binary_length(words).to_numpy()[new] > LONG_WORD
+        new = np.concatenate([new[long], new[~long]])
+        which[new] = len(self.known) + np.arange(len(new))
+        added = words.take(pa.array(new))
+        names = added.cast(pa.binary()).to_pylist()
         pieces, counts = [self.ids], [np.diff(self.offsets)]
-        lengths = np.fromiter((len(word.encode()) for word in new), np.int64, len(new))
-        for at in np.flatnonzero(lengths > LONG_WORD):
-            self.code[new[at]] = len(self.code)
-            pieces.append(self.encode_long(new[at].encode()))
+        for word in names[: long.sum()]:
+            pieces.append(self.encode_long(word))
             counts.append(np.array([len(pieces[-1])]))
-        batch = [new[at] for at in np.flatnonzero(lengths <= LONG_WORD)]
-        for at in range(0, len(batch), WORDS_PER_QUERY):
-            part = batch[at : at + WORDS_PER_QUERY]
-            ids, sizes = self.encode_words([word.encode() for word in part])
-            self.code.update(zip(part, range(len(self.code), len(self.code) + len(part))))
+        for at in range(long.sum(), len(names), WORDS_PER_QUERY):
+            ids, sizes = self.encode_words(names[at : at + WORDS_PER_QUERY])
             pieces.append(ids)
             counts.append(sizes)
+        self.known = pa.concat_arrays([self.known, added])
         self.ids = np.concatenate(pieces)
         self.offsets = np.concatenate([[0], np.cumsum(np.concatenate(counts))])
+        return which
 
     def matches(self, texts: list[str]) -> Iterator[tuple[list[str], np.ndarray]]:
         """Matches of the pattern, a bounded number at a time, and how many are of each text."""
@@ -237,9 +241,7 @@ class Encoder:
         ids, counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
         for found, several in self.matches(texts):
             coded = pa.array(found, pa.string()).dictionary_encode()
-            names = coded.dictionary.to_pylist()
-            self.learn(names)
-            codes = np.fromiter((self.code[name] for name in names), np.int64, len(names))[coded.indices.to_numpy()]
+            codes = self.learn(coded.dictionary)[coded.indices.to_numpy()]
             starts, sizes = self.offsets[codes], self.offsets[codes + 1] - self.offsets[codes]
             total = np.concatenate([[0], np.cumsum(sizes)])
             ids.append(self.ids[np.repeat(starts - total[:-1], sizes) + np.arange(total[-1])])
@@ -257,7 +259,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[s
     of a tokenizer file, bounds what is sent to the tasks.
     """
     spark = prepare(docs.sparkSession)
-    shipped = spark.sparkContext.broadcast((ranks, pattern))
+    shipped = spark.sparkContext.broadcast((ranks, pattern, merge_table(ranks)))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None

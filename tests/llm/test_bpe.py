@@ -1,9 +1,13 @@
+import numpy as np
 import pytest
 import tiktoken
 
 from fieldlake.llm import bpe
 from fieldlake.llm.bpe import Encoder, decode, encode, public_tokenizer
 
+#: Hex digits as letters, so that a number is one word.
+LETTERS = str.maketrans("0123456789", "ghijklmnop")
+
 
 @pytest.fixture(scope="module")
 def tokenizer():
@@ -58,3 +62,26 @@ def test_very_long_texts(docs, prose, tokenizer):
         assert want is None or r.ids == want
         if r.doc_id < 3:  # the library takes minutes for one long word
             assert set(r.ids[:-8]) == {library.encode_ordinary(text[:512])[0]}
+
+
+def test_more_words_than_before_are_encoded_once(tokenizer, monkeypatch):
+    encoder = Encoder(*tokenizer)
+    monkeypatch.setattr(Encoder, "encode_words", lambda self, words: (asked.extend(words), plain(words))[1])
+    plain = lambda words: (np.arange(len(words), dtype=np.int32), np.ones(len(words), np.int64))
+    asked = []
+    text = [" ".join(f"{n:06x}" for n in range(at, at + 30_000)).translate(LETTERS) for at in range(0, 300_000, 30_000)]
+    first = [encoder.encode_texts([part]) for part in text]
+    assert len(asked) == len(set(asked)) > 290_000
+    again = [encoder.encode_texts([part]) for part in text]
+    assert len(asked) == len(set(asked))
+    assert all((a[0] == b[0]).all() and (a[1] == b[1]).all() for a, b in zip(first, again))
+
+
+def test_words_encoded_again_when_no_more_can_be_kept(tokenizer, monkeypatch, prose):
+    library = tiktoken.Encoding("own", pat_str=tokenizer[1], mergeable_ranks=tokenizer[0], special_tokens={})
+    monkeypatch.setattr(bpe, "KEPT_BYTES", 2000)
+    encoder = Encoder(*tokenizer)
+    for text in [*prose[:6], "a" * 600 + " b", *prose[:6], ""]:
+        ids, counts = encoder.encode_texts([text, "the"])
+        want = [library.encode_ordinary(text), library.encode_ordinary("the")]
+        assert ids.tolist() == sum(want, []) and counts.tolist() == [len(part) for part in want]
