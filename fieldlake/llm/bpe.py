@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import documents, prepare, text_slices
+from fieldlake.llm.common import documents, lean, prepare, text_slices
 from fieldlake.llm.registry import query
 
 #: Text per step of a task, words per recursive query, bytes of words kept with their ids, ids decoded at once.
@@ -261,6 +261,7 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, keep: tuple[s
     spark = prepare(docs.sparkSession)
     shipped = spark.sparkContext.broadcast((ranks, pattern, merge_table(ranks)))
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = None
         for batch in text_slices(batches, SLICE_BYTES):
@@ -288,6 +289,7 @@ def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     spark = prepare(encoded.sparkSession)
     shipped = spark.sparkContext.broadcast(ranks)
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         db = None
         for batch in batches:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,24 @@ def drop(spark: SparkSession, *paths: str) -> None:
         target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def lean(kernel: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``kernel``, after which the worker gives the memory it has freed back to the system.
+
+    A worker waits for its next task for a minute, and chained kernels have one each, so what
+    idle workers hold adds up to a good part of an executor.
+    """
+
+    @wraps(kernel)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from kernel(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+        if trim:
+            trim(0)
+
+    return run
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import LOWER, binary, documents, prepare, raw, span_hashes, text_slices
+from fieldlake.llm.common import LOWER, binary, documents, lean, prepare, raw, span_hashes, text_slices
 from fieldlake.llm.registry import query
 
 SLICE_BYTES = 6 << 20
@@ -235,6 +235,7 @@ def merged_runs(covered: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
 def _search_kernel(shipped, keep: tuple[str, ...]):
     """Adds a block's items, and its hits to the spans found by the blocks before it."""
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, SLICE_BYTES):
             known = shipped.value
@@ -318,6 +319,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, keep: t
     return result
 
 
+@lean
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = batch.column("text").cast(pa.binary()).to_pylist()

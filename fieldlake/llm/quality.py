@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import LOWER, WHITE, binary, documents, prepare, raw, span_hashes, stored, text_slices
+from fieldlake.llm.common import LOWER, WHITE, binary, documents, lean, prepare, raw, span_hashes, stored, text_slices
 from fieldlake.llm.registry import query
 
 SLICE_BYTES = 4 << 20
@@ -94,6 +94,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
     """doc_id and its statistics (array<double>) for every row of ``docs`` (doc_id, text)."""
     prepare(docs.sparkSession)
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, SLICE_BYTES):
             made = statistics(*raw(binary(batch.column("text"))))
@@ -116,6 +117,7 @@ def class_moments(labelled: DataFrame) -> dict[int, tuple[float, np.ndarray, np.
     """
     width = 1 + STATISTICS + STATISTICS**2
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((2, width))
         for batch in batches:
@@ -192,6 +194,7 @@ def score(measured: DataFrame, model: Discriminant) -> DataFrame:
     """``measured`` (doc_id, statistics) with a score."""
     shipped = measured.sparkSession.sparkContext.broadcast(model)
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = shipped.value.score(_matrix(batch.column("statistics")))

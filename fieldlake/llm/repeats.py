@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import BLOCK_BYTES, binary, documents, drop, prepare, raw, span_hashes, stored, text_slices
+from fieldlake.llm.common import BLOCK_BYTES, binary, documents, drop, lean, prepare, raw, span_hashes, stored, text_slices
 from fieldlake.llm.registry import query
 from fieldlake.session import scratch_path
 
@@ -470,6 +470,7 @@ def _kept(name: str) -> str:
     return f"kept_{name}"
 
 
+@lean
 def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Number the rows by blocks of about ``BLOCK_BYTES`` of text."""
     block, size = TaskContext.get().partitionId() << 32, 0
@@ -533,6 +534,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, keep: tuple[str, ...] = ()
     return result
 
 
+@lean
 def _characters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [value.decode("utf-8", "ignore") for value in batch.column("kept").to_pylist()]

@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import LOWER, documents, drop, prepare, stored, text_slices
+from fieldlake.llm.common import LOWER, documents, drop, lean, prepare, stored, text_slices
 from fieldlake.llm.components import components
 from fieldlake.llm.registry import query
 
@@ -52,6 +52,7 @@ def fingerprints(docs: DataFrame, words_per_shingle: int) -> DataFrame:
     """doc_id and fingerprint (long, the 64 bits) of every row of ``docs`` (doc_id, text)."""
     prepare(docs.sparkSession)
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, SLICE_BYTES):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
@@ -79,6 +80,7 @@ def _distances(values: np.ndarray) -> np.ndarray:
 def _bucket_links(radius: int):
     """Links that connect what is within the radius in each bucket, as few as do so."""
 
+    @lean
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends: list[np.ndarray] = []
