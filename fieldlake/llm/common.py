@@ -153,6 +153,18 @@ def span_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.n
     return hashes ^ (hashes >> np.uint64(29))
 
 
+def window_hashes(data: np.ndarray, width: int) -> np.ndarray:
+    """:func:`span_hashes` of every ``width`` bytes."""
+    count = max(len(data) - width + 1, 0)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE[data] * _powers(_ROOT, len(data)), out=sums[1:])
+    hashes = sums[width : width + count] - sums[:count]
+    hashes *= _powers(pow(_ROOT, -1, 1 << 64), len(data) + 1)[:count]
+    hashes ^= np.full(1, width, np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
+    hashes ^= hashes >> np.uint64(29)
+    return hashes
+
+
 def binary_array(data: np.ndarray, offsets: np.ndarray) -> pa.BinaryArray:
     return pa.BinaryArray.from_buffers(
         pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data))]

@@ -27,13 +27,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlake.llm.common import BLOCK_BYTES, binary, documents, drop, lean, prepare, raw, span_hashes, stored, text_slices
+from fieldlake.llm.common import BLOCK_BYTES, binary, documents, drop, lean, prepare, raw, span_hashes, stored, text_slices, window_hashes
 from fieldlake.llm.registry import query
 from fieldlake.session import scratch_path
 
 GRAM = 24
-#: Bytes whose hashes are in memory at once, longest piece, and the sizes aimed at.
-CHUNK = 1 << 20
+#: Bytes whose hashes are in memory at once (few, so that they stay near the core), longest piece, and the sizes aimed at.
+CHUNK = 1 << 17
 PIECE = 48
 ANCHORS_PER_BUCKET = 400_000
 PIECES_PER_BUCKET = 12_000
@@ -66,22 +66,25 @@ def cut_pieces(data: np.ndarray, offsets: np.ndarray, length: int) -> Pieces:
     found: list[tuple[np.ndarray, ...]] = []
     at, total = 0, len(data)
     gram = min(GRAM, length)
-    texts = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
     while at + length <= total:
         stop = min(total, at + CHUNK + length - 1)
-        place = np.arange(at, stop - gram + 1) - at
-        window = data[at:stop]
-        anchors = _slide(span_hashes(window, place, place + gram), length - gram + 1)
-        start = np.arange(at, at + len(anchors))
-        text = texts[at : at + len(anchors)]
-        inside = start + length <= offsets[text + 1]
-        fresh = np.ones(len(start), bool)
-        fresh[1:] = (anchors[1:] != anchors[:-1]) | (text[1:] != text[:-1])
-        run = np.maximum.accumulate(np.where(fresh, np.arange(len(start)), 0))
-        fresh |= (np.arange(len(start)) - run) % PIECE == 0
-        opens = np.flatnonzero(fresh & inside)
-        counts = np.add.reduceat(inside.astype(np.int64), np.flatnonzero(fresh))[inside[fresh]]
-        found.append((start[opens], counts, anchors[opens], text[opens]))
+        anchors = _slide(window_hashes(data[at:stop], gram), length - gram + 1)
+        fresh = np.ones(len(anchors), bool)
+        np.not_equal(anchors[1:], anchors[:-1], out=fresh[1:])
+        low, high = np.searchsorted(offsets, [at, at + len(anchors)])
+        fresh[offsets[low:high] - at] = True
+        runs = np.flatnonzero(fresh)
+        sizes = np.diff(runs, append=len(anchors))
+        parts = -(-sizes // PIECE)
+        if parts.max() > 1:
+            run = np.repeat(np.arange(len(runs)), parts)
+            nth = np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+            runs, sizes = runs[run] + nth * PIECE, np.minimum(sizes[run] - nth * PIECE, PIECE)
+        text = np.searchsorted(offsets, runs + at, "right") - 1
+        # starts of whole strings come first in a piece
+        counts = np.minimum(offsets[text + 1] - length + 1 - (runs + at), sizes)
+        inside = counts > 0
+        found.append((runs[inside] + at, counts[inside], anchors[runs[inside]], text[inside]))
         at += len(anchors)
     if not found:
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))]
@@ -93,23 +96,35 @@ def _deal(anchors: np.ndarray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(24)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _by_number(numbers: np.ndarray, count: int) -> np.ndarray:
+    """Stable order of numbers below ``count``."""
+    return np.argsort(numbers.astype(np.uint16) if count <= 1 << 16 else numbers, kind="stable")
+
+
+def _same(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by key, where each key begins in it, which key each row has)."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    fresh = np.ones(len(order), bool)
+    np.not_equal(ranked[1:], ranked[:-1], out=fresh[1:])
+    which = np.empty(len(order), np.int64)
+    which[order] = np.cumsum(fresh) - 1
+    return order, np.flatnonzero(fresh), which
+
+
 def ask_anchors(pieces: Pieces, buckets: int):
     """(bucket, anchor, in two texts, piece's anchor) with distinct anchors by bucket."""
-    order = np.argsort(pieces.anchor, kind="stable")
-    sorted_anchor = pieces.anchor[order]
-    fresh = np.ones(len(order), bool)
-    fresh[1:] = sorted_anchor[1:] != sorted_anchor[:-1]
-    firsts = np.flatnonzero(fresh)
-    lasts = np.append(firsts[1:], len(order))[: len(firsts)] - 1  # none where no text is long enough
+    order, firsts, owner = _same(pieces.anchor)
+    if not len(order):  # no text is long enough
+        return owner, pieces.anchor, np.zeros(0, bool), owner
     text = pieces.text[order]
-    anchors, shared = sorted_anchor[firsts], text[firsts] != text[lasts]
+    anchors = pieces.anchor[order[firsts]]
+    shared = np.minimum.reduceat(text, firsts) != np.maximum.reduceat(text, firsts)
     bucket = _deal(anchors, buckets)
-    dealt = np.argsort(bucket, kind="stable")
+    dealt = _by_number(bucket, buckets)
     back = np.empty(len(dealt), np.int64)
     back[dealt] = np.arange(len(dealt))
-    owner = np.empty(len(order), np.int64)
-    owner[order] = np.cumsum(fresh) - 1
-    return bucket[dealt], anchors[dealt], shared[dealt], back[owner] if len(owner) else owner
+    return bucket[dealt], anchors[dealt], shared[dealt], back[owner]
 
 
 def _groups(bucket: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -209,7 +224,7 @@ def repeated_pieces(data, offsets, length: int, answers: pa.Table, buckets: int,
         marked[a:b] = np.unpackbits(np.frombuffer(bits[number], np.uint8), count=b - a)
     kept = np.flatnonzero(marked[owner]) if len(owner) else owner
     dealt = _deal(pieces.anchor[kept] ^ np.uint64(0xA5A5A5A5A5A5A5A5), next_buckets)
-    order = np.argsort(dealt, kind="stable")
+    order = _by_number(dealt, next_buckets)
     kept = kept[order]
     return Pieces(pieces.start[kept], pieces.count[kept], pieces.anchor[kept], pieces.text[kept]), dealt[order]
 
@@ -238,7 +253,8 @@ def _send(length: int, buckets: int, next_buckets: int):
             sizes = pieces.count + length - 1
             keys = _piece_keys(data, pieces.start, sizes)
             for number, a, b in _groups(bucket):
-                _, first, which = np.unique(keys[a:b], return_index=True, return_inverse=True)
+                order, begins, which = _same(keys[a:b])
+                first = order[begins]
                 strings = _take(data, pieces.start[a:b][first], sizes[a:b][first])
                 rows.append(
                     (
@@ -260,14 +276,11 @@ def _send(length: int, buckets: int, next_buckets: int):
 def _piece_keys(data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Hashes of pieces, chunk by chunk of the text."""
     made = np.zeros(len(starts), np.uint64)
-    order = np.argsort(starts, kind="stable")
+    order = np.argsort(starts)
     longest = int(sizes.max(initial=0))
-    for a in range(0, len(order), 100_000):
-        part = order[a : a + 100_000]
-        for low in np.unique(starts[part] // CHUNK):
-            inside = part[starts[part] // CHUNK == low]
-            base = int(low) * CHUNK
-            made[inside] = span_hashes(data[base : base + CHUNK + longest], starts[inside] - base, starts[inside] - base + sizes[inside])
+    for low, a, b in _groups(starts[order] // CHUNK):
+        part, base = order[a:b], low * CHUNK
+        made[part] = span_hashes(data[base : base + CHUNK + longest], starts[part] - base, starts[part] - base + sizes[part])
     return made
 
 
@@ -295,12 +308,14 @@ def transform(text: np.ndarray) -> Transform:
         key = (key << np.uint64(8)) | np.where(left >= k, padded[k : k + n], 0).astype(np.uint64)
     width = 8
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
+        ranked = key[order]
         fresh = np.ones(n, bool)
-        fresh[1:] = key[order[1:]] != key[order[:-1]]
+        np.not_equal(ranked[1:], ranked[:-1], out=fresh[1:])
         rank = np.empty(n, np.int64)
         rank[order] = np.cumsum(fresh)
         if width > left.max(initial=0) or fresh.all():
+            order = np.argsort(rank * n + np.arange(n))
             break
         behind = np.where(left >= width, rank[np.minimum(np.arange(n) + width, n - 1)], 0)
         key = rank.astype(np.uint64) * np.uint64(n + 2) + behind.astype(np.uint64)
@@ -311,28 +326,25 @@ def transform(text: np.ndarray) -> Transform:
     return Transform(symbols, row[order - 1], order, len(stops))
 
 
-def interleave(shards: list[Transform], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """(rows of all shards in merged order, block of each) after refinement to ``depth``.
+def interleave(shards: list[Transform], rows: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """(merged order of the suffixes ``depth`` symbols before ``rows``, block of each) after refinement to ``depth``.
 
-    Rows count through the shards. Rows of one block have the same first ``depth`` symbols,
-    or the whole of a shorter suffix.
+    Rows count through the shards; those given have ``depth`` symbols of their string before them.
+    Only these are interleaved, as a round takes each one symbol back. Rows of one block have the same
+    first ``depth`` symbols.
     """
     sizes = [len(shard.symbols) for shard in shards]
     base = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     symbols = np.concatenate([shard.symbols for shard in shards])
     step = np.concatenate([shard.step + start for shard, start in zip(shards, base)]).astype(np.int32)
-    ends = np.concatenate([np.arange(shard.ends) + start for shard, start in zip(shards, base)]).astype(np.int32)
-    rows, blocks = np.arange(len(symbols), dtype=np.int32), np.zeros(len(symbols), np.int32)
-    seen = 1
+    rows, blocks = rows.astype(np.int32), np.zeros(len(rows), np.int32)
+    fresh = np.zeros(len(rows), bool)
     for _ in range(depth):
         symbol = symbols[rows]
-        live = np.flatnonzero(symbol)
-        live = live[np.argsort(symbol[live], kind="stable")]
-        symbol, block = symbol[live], blocks[live]
-        fresh = np.ones(len(live), np.int32)
-        fresh[1:] = (symbol[1:] != symbol[:-1]) | (block[1:] != block[:-1])
-        rows = np.concatenate([ends, step[rows[live]]])
-        blocks = np.concatenate([np.arange(len(ends), dtype=np.int32), len(ends) - 1 + np.cumsum(fresh, dtype=np.int32)])
+        order = np.argsort(symbol, kind="stable")
+        symbol, blocks = symbol[order], blocks[order]
+        fresh[1:] = (symbol[1:] != symbol[:-1]) | (blocks[1:] != blocks[:-1])
+        rows, blocks = step[rows[order]], np.cumsum(fresh, dtype=np.int32)
     return rows, blocks
 
 
@@ -360,11 +372,11 @@ def least_owner(strings: np.ndarray, sizes: np.ndarray, owner: np.ndarray, lengt
     if cuts[-1] != n:
         cuts.append(n)
     shards = [transform(text[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-    rows, blocks = interleave(shards, length)
-    place = np.concatenate([shard.suffix + a for shard, a in zip(shards, cuts)])[rows]
+    suffix = np.concatenate([shard.suffix + a for shard, a in zip(shards, cuts)])
     string = np.repeat(np.arange(len(sizes)), sizes + 1)
-    whole = stops[string[place]] - place >= length
-    place, blocks = place[whole], blocks[whole]
+    inside = np.arange(n) - (stops - sizes)[string]
+    rows, blocks = interleave(shards, np.flatnonzero(inside[suffix] >= length), length)
+    place = suffix[rows]
     fresh = np.flatnonzero(np.append(True, blocks[1:] != blocks[:-1]))
     least = np.minimum.reduceat(owner[string[place]], fresh)
     made = np.full(n, _LAST)
@@ -421,10 +433,10 @@ def covered_bytes(size: int, pieces: Pieces, earlier: np.ndarray, length: int) -
     ends = np.cumsum(pieces.count)
     place = np.repeat(pieces.start - ends + pieces.count, pieces.count) + np.arange(ends[-1] if len(ends) else 0)
     place = place[earlier]
-    step = np.zeros(size + 1, np.int32)
-    np.add.at(step, place, 1)
-    np.add.at(step, place + length, -1)
-    return np.cumsum(step[:-1]) > 0
+    step = np.zeros(size + 1, np.int8)  # a start is in one piece only
+    step[place] += 1
+    step[place + length] -= 1
+    return np.cumsum(step[:-1], dtype=np.int32) > 0
 
 
 def _remove(length: int, buckets: int, next_buckets: int, keep: tuple[str, ...]):

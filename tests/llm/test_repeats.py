@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 
 from fieldlake.llm import repeats
-from fieldlake.llm.repeats import least_owner, remove_repeats, whole_characters
+from fieldlake.llm.repeats import cut_pieces, least_owner, remove_repeats, whole_characters
 
 
 def brute(rows, length):
@@ -57,3 +57,28 @@ def test_cuts_leave_valid_text(docs):
     found = remove_repeats(docs([(1, "a" + text), (2, "b" + text + "z")]), 51, ("ids",))
     kept = {r.doc_id: r.text for r in whole_characters(found).collect()}
     assert kept[1] == "a" + text and kept[2].startswith("b") and kept[2].endswith("z")
+
+
+def test_only_starts_of_whole_strings_are_interleaved(prose, monkeypatch):
+    rounds = []
+    one = repeats.interleave
+    monkeypatch.setattr(repeats, "interleave", lambda *given: rounds.append(one(*given)) or rounds[-1])
+    strings = sorted({t.encode()[k : k + 70] for t in prose for k in range(0, len(t) - 70, 37)})
+    least_owner(np.frombuffer(b"".join(strings), np.uint8), np.array([len(s) for s in strings]), np.arange(len(strings)), 50)
+    assert [len(rows) for rows, _ in rounds] == [21 * len(strings)]
+
+
+@pytest.mark.parametrize("chunk, piece", [(1 << 17, 48), (37, 5)])
+def test_pieces_hold_every_start_once(prose, monkeypatch, chunk, piece):
+    monkeypatch.setattr(repeats, "CHUNK", chunk)
+    monkeypatch.setattr(repeats, "PIECE", piece)
+    texts = [b"", *(t.encode() for t in prose[:4]), b"", b"x" * 49, b"a" * 300, prose[0].encode(), b"z" * 50, b""]
+    offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    got = cut_pieces(np.frombuffer(b"".join(texts), np.uint8), offsets, 50)
+    starts = [(s + k, t, a) for s, n, a, t in zip(*(x.tolist() for x in (got.start, got.count, got.anchor, got.text))) for k in range(n)]
+    assert [(s, t) for s, t, _ in starts] == [(offsets[n] + k, n) for n, t in enumerate(texts) for k in range(len(t) - 49)]
+    assert got.count.max() <= piece
+    anchors = {}
+    for start, text, anchor in starts:
+        whole = texts[text][start - offsets[text] :][:50]
+        assert anchors.setdefault(whole, anchor) == anchor
