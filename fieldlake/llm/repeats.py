@@ -23,6 +23,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -260,7 +261,7 @@ def _send(length: int, buckets: int, next_buckets: int):
                     (
                         number,
                         block,
-                        strings.tobytes(),
+                        zstandard.compress(strings.tobytes(), 1),
                         sizes[a:b][first].astype(_size_type(length)).tobytes(),
                         _narrow(pieces.anchor[a:b][first]).tobytes(),
                         which.astype(np.uint32).tobytes(),
@@ -390,7 +391,8 @@ def _answer_pieces(length: int):
     def kernel(table: pa.Table) -> pa.Table:
         bucket, blocks = table.column("bucket")[0].as_py(), table.column("block").to_pylist()
         read = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in table.column(name)]
-        strings, sizes, which, docs = read("strings", np.uint8), read("sizes", _size_type(length)), read("which", np.uint32), read("doc", np.int64)
+        strings = [np.frombuffer(zstandard.decompress(v.as_buffer()), np.uint8) for v in table.column("strings")]
+        sizes, which, docs = read("sizes", _size_type(length)), read("which", np.uint32), read("doc", np.int64)
         shift = np.cumsum([0, *map(len, sizes)])
         which = [part.astype(np.int64) + start for part, start in zip(which, shift)]
         all_sizes = np.concatenate(sizes).astype(np.int64)
