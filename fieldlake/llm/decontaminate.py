@@ -140,7 +140,9 @@ class FMIndex:
     def search(self, symbols: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """First and last (exclusive) row of each pattern, from its last symbol to its first."""
         low, high = np.zeros(len(symbols), np.int64), np.full(len(symbols), len(self.bwt), np.int64)
-        live = np.flatnonzero(lengths > 0)
+        # a symbol of more bits than the shard's own has no place in the ranks: it stands nowhere
+        high[symbols.max(axis=1, initial=0) >> self.levels > 0] = 0
+        live = np.flatnonzero((lengths > 0) & (high > 0))
         for back in range(1, symbols.shape[1] + 1):
             live = live[(low[live] < high[live]) & (lengths[live] >= back)] if back > 1 else live
             if not len(live):

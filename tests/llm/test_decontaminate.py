@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from fieldlake.llm import decontaminate
-from fieldlake.llm.decontaminate import FMIndex, contamination, without_spans
+from fieldlake.llm.decontaminate import FMIndex, contamination, find_windows, windows_of, without_spans
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 LOWER = {i: i + 32 for i in range(65, 91)}
@@ -68,3 +68,20 @@ def test_index_finds_every_place():
     for pattern, a, b in zip(patterns, low, high):
         places = [k for k in range(1997) if (symbols[k : k + 4] == pattern).all()]
         assert sorted(index.locate(np.arange(a, b)).tolist()) == places
+
+
+def test_index_lacks_larger_symbols():
+    symbols = np.array([0, 1, 3, 2, 0, 3, 1, 0])
+    patterns = np.array([[1, 3], [4, 0], [5, 0], [3, 9], [9, 3], [3, 1]])
+    low, high = FMIndex(symbols).search(patterns, np.array([2, 1, 1, 2, 2, 2]))
+    assert (high - low).tolist() == [1, 0, 0, 0, 0, 1]
+
+
+def test_slices_with_few_words_of_the_benchmark():
+    vocabulary = [f"word{n}" for n in range(40)]
+    known = windows_of([*((n, word) for n, word in enumerate(vocabulary)), (50, " ".join(vocabulary))], 10)
+    for number, word in enumerate(vocabulary):
+        data = np.frombuffer(f"{word} x {word}".encode(), np.uint8)
+        *_, begin, window = find_windows(data, np.array([0, len(data)]), known)
+        assert sorted(begin.tolist()) == [0, 2]
+        assert [known.items[hit].tolist() for hit in window] == [[number]] * 2
